@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension side above this many rows is joined by shuffle instead.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (a bounded job); above the
+    bound the frame is returned unchanged and Spark plans a shuffle join (and
+    AQE may still broadcast from runtime statistics).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
