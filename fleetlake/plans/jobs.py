@@ -12,6 +12,8 @@ the four outputs do not rescan the input.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,15 @@ def _reception_span(hours: list[tuple[str, str]], lateness_hours: int) -> list[t
     return sorted(out)
 
 
+def run_concurrently(tasks: dict) -> None:
+    """Submit independent write jobs from driver threads so they share the
+    cluster instead of running one after another; re-raises the first error."""
+    with ThreadPoolExecutor(max_workers=max(1, len(tasks))) as pool:
+        futures = [pool.submit(fn) for fn in tasks.values()]
+        for f in futures:
+            f.result()
+
+
 def silver_job(spark: SparkSession, bronze_root: str, silver_path: str,
                hours: list[tuple[str, str]] | None = None, lateness_hours: int = 1) -> DataFrame:
     """Bronze -> silver for the given *event* hours (None = everything landed).
@@ -59,7 +70,7 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_path: str,
     silver = flatten_positions(read_bronze(spark, bronze_root, recv))
     if hours is not None:
         silver = silver.where(hours_predicate(hours))
-    write_hours(silver, silver_path, spread_cols=("cod_onibus",), files_per_hour=None)
+    write_hours(silver, silver_path)
     return silver
 
 
@@ -75,12 +86,13 @@ def stats_job(spark: SparkSession, silver_path: str, gold_root: str,
         "media_onibus_por_linha": hourly_mean_per_line(a1),
         "media_onibus_geral": hourly_mean_network(a4),
     }
+    def writer(name, df):
+        if upsert:
+            return lambda: upsert_table(spark, df, gold_root, name)
+        return lambda: write_hours(df, f"{gold_root.rstrip('/')}/{name}")
+
     try:
-        for name, df in out.items():
-            if upsert:
-                upsert_table(spark, df, gold_root, name)
-            else:
-                write_hours(df, f"{gold_root.rstrip('/')}/{name}")
+        run_concurrently({name: writer(name, df) for name, df in out.items()})
     finally:
         a4.unpersist()
         a1.unpersist()
@@ -100,10 +112,14 @@ def target_job(spark: SparkSession, gold_root: str, meta: DataFrame,
     try:
         processed = hours if hours is not None else [
             (r[0], r[1]) for r in avg.select(*HOUR_PARTITIONS).distinct().collect()]
-        for name, df in outs.items():
+        def writer(name, df):
             path = f"{gold_root.rstrip('/')}/{name}"
-            write_hours(df, path)
-            clear_hours(spark, path, df, processed, TABLES[name].schema)
+
+            def run():
+                write_hours(df, path)
+                clear_hours(spark, path, df, processed, TABLES[name].schema)
+            return run
+        run_concurrently({name: writer(name, df) for name, df in outs.items()})
     finally:
         checked.unpersist()
     if hours:

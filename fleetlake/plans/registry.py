@@ -325,8 +325,8 @@ def q_stream_hourly_recompute(spark, sf):
     ckpt = scratch_path(spark, "stream-ckpt")
     cutoff = ts_literal(LATE_CUTOFF)
     for part in (silver.where(F.col("timestamp_pos") < cutoff), silver.where(F.col("timestamp_pos") >= cutoff)):
-        part.write.mode("append").partitionBy(*HOUR_PARTITIONS).parquet(silver_path)
-        start_recompute(spark, silver_path, gold_root, ckpt, max_files_per_trigger=64).awaitTermination()
+        write_hours(part, silver_path, mode="append")
+        start_recompute(spark, silver_path, gold_root, ckpt, max_files_per_trigger=256).awaitTermination()
     return read_gold(spark, gold_root, "media_onibus_por_linha")
 
 
@@ -340,7 +340,7 @@ def q_stream_hourly_watermark(spark, sf):
     src, out, ckpt = scratch_path(spark, "silver"), scratch_path(spark, "hourly"), scratch_path(spark, "wm-ckpt")
     for lo, hi in STREAM_CHUNKS:
         chunk = silver.where((F.col("data_ref") >= lo) & (F.col("data_ref") < hi))
-        chunk.write.mode("append").partitionBy(*HOUR_PARTITIONS).parquet(src)
+        write_hours(chunk, src, mode="append")
         stream = spark.readStream.schema(_with_hour(SILVER)).parquet(src)
         q = (hourly_means_stream(stream, STREAM_DELAY).writeStream.outputMode("append").format("parquet")
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))

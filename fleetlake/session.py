@@ -90,7 +90,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def local_test_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the local bench (``local[N]``)."""
     extra = {"spark.driver.memory": os.environ.get("FLEETLAKE_DRIVER_MEMORY", "16g"),
-             "spark.sql.execution.arrow.pyspark.enabled": "true"}
+             "spark.sql.execution.arrow.pyspark.enabled": "true",
+             # small test data: let AQE keep several tasks per stage instead of one
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=shuffle_partitions, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     return spark

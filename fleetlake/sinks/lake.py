@@ -36,19 +36,17 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def write_hours(df: DataFrame, path: str, partition_cols=HOUR_PARTITIONS, *, spread_cols=None,
-                files_per_hour: int | None = None, max_records_per_file: int | None = None) -> None:
-    """Dynamic-overwrite write partitioned by (date, hour).
-
-    ``spread_cols``/``files_per_hour`` hash-spread each hour over a fixed number
-    of writer tasks (deterministic, so a retried task rewrites the same rows):
-    a hot hour is written by several tasks instead of one.
+def write_hours(df: DataFrame, path: str, partition_cols=HOUR_PARTITIONS, *, rebalance: bool = True,
+                max_records_per_file: int | None = None, mode: str = "overwrite") -> None:
+    """Write partitioned by (date, hour); ``overwrite`` replaces only the hours present.
+
+    ``rebalance`` clusters rows by hour before the write (``REBALANCE`` hint):
+    each hour is written by few tasks instead of every task writing a file into
+    every hour, and AQE splits a hot hour over several tasks and merges small
+    ones, so file sizes follow the advisory partition size at any scale.
     """
-    out = df
-    if spread_cols and files_per_hour:
-        out = df.repartition(*[F.col(c) for c in partition_cols],
-                             F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), F.lit(files_per_hour)))
-    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = df.hint("rebalance", *partition_cols) if rebalance else df
+    w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.partitionBy(*partition_cols).parquet(path)

@@ -39,8 +39,8 @@ def read_bronze(spark: SparkSession, root: str, hours: Column | None = None, *,
 
 def write_bronze(docs: DataFrame, root: str, mode: str = "overwrite") -> None:
     """I2 landing write: documents partitioned by reception date and hour."""
-    (docs.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-     .partitionBy("recv_date", "recv_hour").json(root))
+    (docs.hint("rebalance", "recv_date", "recv_hour").write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic").partitionBy("recv_date", "recv_hour").json(root))
 
 
 def reception_hour(recv_date: str, recv_hour: str) -> Column:
