@@ -7,7 +7,6 @@ replaced (NULLs included), nothing is deleted.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 
@@ -23,7 +22,12 @@ def latest_per_key(df: DataFrame, keys, order_cols) -> DataFrame:
     """Optional dedup ahead of an upsert: keep the last row per key.
 
     The explicit alternative to failing on duplicate keys; ``order_cols`` must
-    make the choice deterministic.
+    make the choice deterministic.  Written as a ``max_by`` aggregate rather
+    than a ``row_number`` window: the aggregate combines map-side, so a key
+    with very many rows never has to be sorted inside one task.
     """
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_cols])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    keys = list(keys)
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(*[F.col(c) for c in order_cols])
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)

@@ -88,11 +88,12 @@ def upsert_table(spark: SparkSession, stage: DataFrame, root: str, table: str, *
     staged = _stage_with_hour(stage.select(*t.columns), t.hour_col)
     if check_keys:
         assert_keys_valid(staged, t.keys)
-    touched = staged.select(*HOUR_PARTITIONS).distinct()
+    # the touched hours: one row per (date, hour) of the stage – a handful per run
+    touched = sorted({r[0] + r[1] for r in staged.select(*HOUR_PARTITIONS).distinct().collect()})
     if table_exists(spark, path):
-        current = read_gold(spark, root, table, keep_hour_column=True)
-        # semi-join on the touched hours: partition columns only, so the scan is pruned
-        current = current.join(F.broadcast(touched), list(HOUR_PARTITIONS), "left_semi")
+        # a predicate on partition columns only: the scan lists and reads just those hours
+        hours = F.concat(F.col("data_ref"), F.col("hora_id_ref")).isin(touched)
+        current = read_gold(spark, root, table, hours, keep_hour_column=True)
         merged = upsert_frames(current.select(*staged.columns), staged, t.keys)
     else:
         merged = staged

@@ -104,3 +104,9 @@ def test_jdbc_stage_append_and_partitioned_read(spark):
     back = read_jdbc(spark, url, "STAGE", props, column="QTDE_ONIBUS", lower=0, upper=3, num_partitions=2)
     assert back.count() == 3
     assert back.where(F.col("DATA_REF") == "20240115").count() == 3
+
+
+def test_latest_per_key(spark):
+    from fleetlake.operators.merge import latest_per_key
+    df = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("b", 1, 5)], "k string, v long, q long")
+    assert rows(latest_per_key(df, ["k"], ["v"]), "k", "v", "q") == [("a", 2, 20), ("b", 1, 5)]
