@@ -154,6 +154,11 @@ def oracle_sql() -> dict[str, str]:
     src, staged = _UPSERT["total_onibus_por_linha"]
     sql.update({
         "silver_roundtrip": _q(f"SELECT {SILVER_COLS} FROM silver"),
+        "silver_job_late_documents": _q(f"SELECT {SILVER_COLS} FROM silver"),
+        "target_job_roundtrip": _q("SELECT * FROM below"),
+        "dedup_latest_per_key": _upsert_sql("total_onibus_por_linha"),
+        "panel_line_table_total": _q(f"""
+            SELECT CAST(sum(qtde_onibus) AS BIGINT) AS total_onibus FROM a2 WHERE {_range(_TS_MIN, 3)}"""),
         "gold_roundtrip": _q("SELECT * FROM a2"),
         "hour_overwrite": _q("SELECT * FROM a3"),
         "jdbc_roundtrip": _q("SELECT * FROM a3"),

@@ -14,10 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.functions.timeutil import hour_range_predicate, ts_literal
-from fleetlake.operators import ingest, quality, silver as silver_ops, stats, targets
+from fleetlake.functions.timeutil import hour_id, hour_range_predicate, ts_literal
+from fleetlake.operators import ingest, merge, quality, silver as silver_ops, stats, targets
 from fleetlake.plans import panels
-from fleetlake.plans.jobs import hours_predicate, stats_job
+from fleetlake.plans.jobs import hours_predicate, silver_job, stats_job, target_job
 from fleetlake.schemas import HOUR_PARTITIONS, SILVER_COLUMNS, TABLES
 from fleetlake.session import ensure_conf, scratch_path
 from fleetlake.sinks import jdbc as jdbc_sink
@@ -95,6 +95,20 @@ def q_flatten_positions(spark, sf):
     return flat.select(*SILVER_COLUMNS)
 
 
+def q_silver_job_late_documents(spark, sf):
+    """Documents land 5 minutes after their poll, so the last polls of an
+    hour (and of a day) are received in the next reception hour; the silver job
+    reads each event hour's reception span and stamps the event date."""
+    ensure_conf(spark)
+    bronze = fixtures.load_bronze(spark, sf, recv_delay_minutes=5)
+    landing, silver_path = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    write_bronze(bronze, landing)
+    # the event hours landed (one key per hour) – the job's hour list
+    hours = [(r[0], r[1]) for r in bronze.select(silver_ops.reference_date(), hour_id("hr")).distinct().collect()]
+    silver_job(spark, landing, silver_path, hours, lateness_hours=1)
+    return read_silver(spark, silver_path).select(*SILVER_COLUMNS)
+
+
 def q_explode_lines(spark, sf):
     ensure_conf(spark)
     lines = silver_ops.explode_lines(fixtures.load_bronze(spark, sf))
@@ -173,6 +187,15 @@ def _ensure(spark, sf):
     return sf
 
 
+def q_target_job_roundtrip(spark, sf):
+    """The target job over written hourly means, all hours, read back."""
+    gold_root = scratch_path(spark, "gold")
+    means = _gold(spark, sf)["media_onibus_por_linha"]
+    write_hours(means, f"{gold_root}/media_onibus_por_linha")
+    target_job(spark, gold_root, fixtures.load_target(spark, sf))
+    return read_gold(spark, gold_root, "linhas_abaixo_meta")
+
+
 def q_target_check(spark, sf):
     return _checked(spark, sf)
 
@@ -232,6 +255,12 @@ def _duplicated_facts(spark, sf):
     return facts.unionByName(_stage_rows(facts, "total_onibus_por_linha"))
 
 
+def q_dedup_latest_per_key(spark, sf):
+    """Optional dedup ahead of K6: of two rows per key the larger count wins."""
+    keys = TABLES["total_onibus_por_linha"].keys
+    return merge.latest_per_key(_duplicated_facts(spark, sf), keys, ["qtde_onibus"])
+
+
 def q_key_violations(spark, sf):
     return quality.key_violations(_duplicated_facts(spark, sf), TABLES["total_onibus_por_linha"].keys)
 
@@ -289,6 +318,11 @@ def q_panel_line_table(spark, sf):
     return panels.line_table(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
 
 
+def q_panel_line_table_total(spark, sf):
+    table = panels.line_table(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
+    return panels.line_table_grand_total(table)
+
+
 def q_panel_mean_line_last25(spark, sf):
     return panels.mean_line_top(_gold(spark, sf)["media_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
 
@@ -353,6 +387,7 @@ def q_stream_hourly_watermark(spark, sf):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q = {
         "flatten_positions": q_flatten_positions,
+        "silver_job_late_documents": q_silver_job_late_documents,
         "explode_lines": q_explode_lines,
         "explode_vehicles": q_explode_vehicles,
         "hour_partition": q_hour_partition,
@@ -362,6 +397,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hourly_mean_network": q_hourly_mean_network,
         "target_one_hour": q_target_one_hour,
         "target_check": q_target_check,
+        "target_job_roundtrip": q_target_job_roundtrip,
         "lines_reached": q_lines_reached,
         "lines_below": q_lines_below,
         "lines_without_bus": q_lines_without_bus,
@@ -375,6 +411,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gold_roundtrip": q_gold_roundtrip,
         "hour_overwrite": q_hour_overwrite,
         "jdbc_roundtrip": q_jdbc_roundtrip,
+        "dedup_latest_per_key": q_dedup_latest_per_key,
         "key_violations": q_key_violations,
         "null_key_violations": q_null_key_violations,
         "payload_ok": q_payload_ok,
@@ -386,6 +423,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "panel_line_last25": q_panel_line_last25,
         "panel_mean_network_last": q_panel_mean_network_last,
         "panel_line_table": q_panel_line_table,
+        "panel_line_table_total": q_panel_line_table_total,
         "panel_mean_line_last25": q_panel_mean_line_last25,
         "panel_network_series_local": q_panel_network_series_local,
         "panel_mean_network_series": q_panel_mean_network_series,

@@ -99,7 +99,7 @@ def load_silver(spark: SparkSession, sf_dir: str, exact_count: bool = True) -> D
     return silver_rows(ev, exact_count=exact_count)
 
 
-def bronze_documents(events: DataFrame, doc_vehicles: int = DOC_VEHICLES) -> DataFrame:
+def bronze_documents(events: DataFrame, doc_vehicles: int = DOC_VEHICLES, recv_delay_minutes: int = 0) -> DataFrame:
     """Nested snapshot documents ``(recv_date, recv_hour, hr, l[..vs[..]])``.
 
     Built by two bounded ``collect_list`` steps: vehicles per (document, line),
@@ -107,7 +107,9 @@ def bronze_documents(events: DataFrame, doc_vehicles: int = DOC_VEHICLES) -> Dat
     whose ids share ``floor(id / doc_vehicles)``, so no group ever exceeds
     ``doc_vehicles`` rows however hot a snapshot or line is; several documents
     may carry the same ``hr``, which the flatten step handles like the API's
-    repeated polls.
+    repeated polls.  ``recv_delay_minutes`` lands each document that long after
+    its poll, so polls late in an hour are received in the next hour (and polls
+    just before midnight on the next day).
     """
     rows = _with_line_count(_vehicle_rows(events))
     rows = rows.select("*", *line_labels(),
@@ -122,14 +124,16 @@ def bronze_documents(events: DataFrame, doc_vehicles: int = DOC_VEHICLES) -> Dat
                     F.col("let_origem").alias("lt1"), F.col("qtde_onibus").cast("bigint").alias("qv"),
                     F.col("vs"))
     docs = per_line.groupBy("data_ref", "hora_ref", "doc").agg(F.collect_list(line).alias("l"))
-    # reception partition = the snapshot's own date and hour in this mapping
-    return docs.select(F.col("data_ref").alias("recv_date"), hour_id("hora_ref").alias("recv_hour"),
+    poll = F.to_timestamp_ntz(F.concat_ws(" ", "data_ref", "hora_ref"), F.lit("yyyyMMdd HH:mm"))
+    received = poll + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(recv_delay_minutes))
+    return docs.select(F.date_format(received, "yyyyMMdd").alias("recv_date"),
+                       F.date_format(received, "HH").alias("recv_hour"),
                        F.col("hora_ref").alias("hr"), "l")
 
 
-def load_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_bronze(spark: SparkSession, sf_dir: str, recv_delay_minutes: int = 0) -> DataFrame:
     ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return bronze_documents(ev)
+    return bronze_documents(ev, recv_delay_minutes=recv_delay_minutes)
 
 
 def target_table(part: DataFrame) -> DataFrame:

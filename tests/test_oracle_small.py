@@ -13,9 +13,10 @@ from check_oracle import frame_rows  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 FAST = [k for k in E.queries() if not k.startswith(("upsert_", "stream_")) and k not in (
-    "gold_roundtrip", "hour_overwrite", "flatten_positions", "silver_roundtrip", "hour_partition")]
-SLOW = ["flatten_positions", "upsert_linhas_abaixo_meta", "hour_overwrite", "stream_hourly_recompute",
-        "stream_hourly_watermark"]
+    "gold_roundtrip", "hour_overwrite", "flatten_positions", "silver_roundtrip", "hour_partition",
+    "silver_job_late_documents", "target_job_roundtrip")]
+SLOW = ["flatten_positions", "silver_job_late_documents", "target_job_roundtrip", "upsert_linhas_abaixo_meta",
+        "hour_overwrite", "stream_hourly_recompute", "stream_hourly_watermark"]
 
 
 @pytest.fixture(scope="module")
