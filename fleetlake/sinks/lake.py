@@ -54,19 +54,26 @@ def write_hours(df: DataFrame, path: str, partition_cols=HOUR_PARTITIONS, *, reb
 
 def clear_hours(spark: SparkSession, path: str, written: DataFrame, processed: list[tuple[str, str]],
                 schema) -> list[tuple[str, str]]:
-    """Replace processed hours that have no new rows with an empty partition.
+    """Empty the processed hours that still hold rows from an earlier run
+    but produced no rows now (a dynamic overwrite leaves such hours untouched).
 
-    ``processed`` is the driver-side list of hours the job covered (a few per
-    run); ``written`` supplies which of them produced rows (one small distinct).
+    ``processed`` is the driver-side list of hours the job covered; which of
+    them exist on disk and which were just written are two small distinct
+    queries over partition columns.  Only stale hours get an (empty) static
+    overwrite, so a normal run launches no per-hour jobs.
     """
-    if not processed:
+    if not processed or not table_exists(spark, path):
         return []
+    keys = sorted({d + h for d, h in processed})
+    in_scope = F.concat(F.col("data_ref"), F.col("hora_id_ref")).isin(keys)
+    on_disk = {(r[0], r[1]) for r in spark.read.schema(schema).parquet(path).where(in_scope)
+               .select(*HOUR_PARTITIONS).distinct().collect()}
     present = {(r[0], r[1]) for r in written.select(*HOUR_PARTITIONS).distinct().collect()}
-    empty = [h for h in processed if h not in present]
+    stale = sorted(on_disk - present)
     blank = spark.createDataFrame([], schema)
-    for d, h in empty:
+    for d, h in stale:
         blank.write.mode("overwrite").parquet(f"{path.rstrip('/')}/data_ref={d}/hora_id_ref={h}")
-    return empty
+    return stale
 
 
 def _stage_with_hour(stage: DataFrame, hour_col: str) -> DataFrame:

@@ -110,3 +110,20 @@ def test_latest_per_key(spark):
     from fleetlake.operators.merge import latest_per_key
     df = spark.createDataFrame([("a", 1, 10), ("a", 2, 20), ("b", 1, 5)], "k string, v long, q long")
     assert rows(latest_per_key(df, ["k"], ["v"]), "k", "v", "q") == [("a", 2, 20), ("b", 1, 5)]
+
+
+def test_target_rerun_moves_line_between_lists(spark, tmp_root):
+    """A line that moves from below to reached leaves no stale row."""
+    from fleetlake.schemas import MEDIA_POR_LINHA, META
+    meta = spark.createDataFrame([("10", 1, 1, "1-10", "D", "O", 5)], META)
+    means_path = f"{tmp_root}/media_onibus_por_linha"
+    low = spark.createDataFrame([("20240115", "10", 1, 1, "1-10", "D", "O", 2)], MEDIA_POR_LINHA)
+    write_hours(low, means_path)
+    target_job(spark, tmp_root, meta, [("20240115", "10")])
+    assert read_gold(spark, tmp_root, "total_linhas_abaixo_meta").count() == 1
+    high = spark.createDataFrame([("20240115", "10", 1, 1, "1-10", "D", "O", 9)], MEDIA_POR_LINHA)
+    write_hours(high, means_path)
+    target_job(spark, tmp_root, meta, [("20240115", "10")])
+    assert read_gold(spark, tmp_root, "linhas_abaixo_meta").count() == 0
+    assert read_gold(spark, tmp_root, "total_linhas_abaixo_meta").count() == 0
+    assert read_gold(spark, tmp_root, "linhas_atingida_meta").count() == 1
