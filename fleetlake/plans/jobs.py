@@ -13,9 +13,10 @@ the four outputs do not rescan the input.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlake.operators.silver import flatten_positions
@@ -47,6 +48,17 @@ def _reception_span(hours: list[tuple[str, str]], lateness_hours: int) -> list[t
     return sorted(out)
 
 
+@dataclass
+class JobRun:
+    """Tables a job wrote (lazy frames) and its row-count observation."""
+
+    tables: dict[str, DataFrame]
+    observation: Observation | None = None
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.tables[name]
+
+
 def run_concurrently(tasks: dict) -> None:
     """Submit independent write jobs from driver threads so they share the
     cluster instead of running one after another; re-raises the first error."""
@@ -75,9 +87,12 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_path: str,
 
 
 def stats_job(spark: SparkSession, silver_path: str, gold_root: str,
-              hours: list[tuple[str, str]] | None = None, *, upsert: bool = False) -> dict[str, DataFrame]:
+              hours: list[tuple[str, str]] | None = None, *, upsert: bool = False) -> "JobRun":
     """Silver -> total/mean per line and network for the given hours."""
     silver = read_silver(spark, silver_path, hours_predicate(hours))
+    # Input row count collected alongside the first action, no extra job
+    seen = Observation("stats_input")
+    silver = silver.observe(seen, F.count(F.lit(1)).alias("silver_rows"))
     a1 = snapshot_per_line(silver).persist(StorageLevel.MEMORY_AND_DISK)
     a4 = network_per_snapshot(a1).persist(StorageLevel.MEMORY_AND_DISK)
     out = {
@@ -98,7 +113,7 @@ def stats_job(spark: SparkSession, silver_path: str, gold_root: str,
         a1.unpersist()
     if hours:
         mark_done(spark, gold_root, "stats", hours)
-    return out
+    return JobRun(out, seen)
 
 
 def target_job(spark: SparkSession, gold_root: str, meta: DataFrame,

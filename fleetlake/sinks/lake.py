@@ -110,6 +110,19 @@ def upsert_table(spark: SparkSession, stage: DataFrame, root: str, table: str, *
     return merged
 
 
+def route_payloads(flagged: DataFrame, landing_root: str, quarantine_root: str,
+                   recv_ts: str = "recv_ts") -> None:
+    """OK payloads to the landing zone by reception date/hour, failed ones
+    to quarantine by reception ``yyyyMMdd_HH`` – two writes of one flagged frame."""
+    from fleetlake.operators.ingest import landing_name, nok_payloads, ok_payloads
+    named = flagged.withColumn("file_name", landing_name(recv_ts))
+    ok = (ok_payloads(named).withColumn("recv_date", F.date_format(recv_ts, "yyyyMMdd"))
+          .withColumn("recv_hour", F.date_format(recv_ts, "HH")))
+    write_hours(ok.drop(recv_ts), landing_root, ("recv_date", "recv_hour"))
+    nok = nok_payloads(named).withColumn("recv_slot", F.date_format(recv_ts, "yyyyMMdd_HH"))
+    write_hours(nok.drop(recv_ts), quarantine_root, ("recv_slot",))
+
+
 def mark_done(spark: SparkSession, root: str, job: str, hours: list[tuple[str, str]]) -> None:
     """K7: completion marker rows, appended after every table of the job is written."""
     now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")

@@ -12,12 +12,10 @@ hours (idempotent overwrite), so the sink is effectively exactly-once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fleetlake.plans.jobs import stats_job
-from fleetlake.schemas import HOUR_PARTITIONS
+from fleetlake.schemas import HOUR_PARTITIONS, SILVER
 from fleetlake.sources.lake import _with_hour
-from fleetlake.schemas import SILVER
 
 
 def start_recompute(spark: SparkSession, silver_path: str, gold_root: str, checkpoint: str, *,

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from fleetlake.functions.timeutil import (HourSpec, date_plus_hours, display_text, hour_id, ref_timestamp,
                                           time_range_predicate)

@@ -127,3 +127,31 @@ def test_target_rerun_moves_line_between_lists(spark, tmp_root):
     assert read_gold(spark, tmp_root, "linhas_abaixo_meta").count() == 0
     assert read_gold(spark, tmp_root, "total_linhas_abaixo_meta").count() == 0
     assert read_gold(spark, tmp_root, "linhas_atingida_meta").count() == 1
+
+
+def test_stats_job_observes_input_rows(spark, tmp_root):
+    silver_path, gold = f"{tmp_root}/silver", f"{tmp_root}/gold"
+    write_hours(load_silver(spark, SF, exact_count=True), silver_path)
+    run = stats_job(spark, silver_path, gold)
+    assert run.observation.get["silver_rows"] == 1000
+
+
+def test_route_payloads(spark, tmp_root):
+    from fleetlake.operators.ingest import validate_payloads
+    from fleetlake.sinks.lake import route_payloads
+    df = spark.createDataFrame([(1, "a", "x" * 10), (2, "b", "y" * 4000), (3, "c", None)],
+                               "payload_id long, name string, body string")
+    flagged = validate_payloads(df).withColumn("recv_ts", F.lit("2024-01-15 10:07:00").cast("timestamp_ntz"))
+    route_payloads(flagged, f"{tmp_root}/ok", f"{tmp_root}/nok")
+    ok = spark.read.parquet(f"{tmp_root}/ok").collect()
+    nok = spark.read.parquet(f"{tmp_root}/nok").collect()
+    assert [(r.payload_id, r.file_name, r.recv_hour) for r in ok] == [(2, "20240115_10_2.json", "10")]
+    assert sorted(r.payload_id for r in nok) == [1, 3]
+
+
+def test_cli_hour_list():
+    from fleetlake.plans.cli import hour_list
+
+    class A:
+        first, last, hours_back, zone = "2024011522", "2024011601", 0, "America/Sao_Paulo"
+    assert hour_list(A) == [("20240115", "22"), ("20240115", "23"), ("20240116", "00"), ("20240116", "01")]
