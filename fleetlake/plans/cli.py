@@ -1,8 +1,8 @@
 """Job entry point for ``spark-submit``.
 
-    spark-submit -m fleetlake.plans.cli silver  --hours-back 0 --bronze <landing> --lake <root>
-    spark-submit -m fleetlake.plans.cli stats   --hours-back 1 --lake <root>
-    spark-submit -m fleetlake.plans.cli targets --hours-back 1 --lake <root> --target <parquet path>
+    python -m fleetlake.plans.cli silver  --hours-back 0 --bronze <landing> --lake <root>
+    python -m fleetlake.plans.cli stats   --hours-back 1 --lake <root>
+    python -m fleetlake.plans.cli targets --hours-back 1 --lake <root> --target <parquet path>
 
 ``--hours-back N`` selects the local hour "now minus N" (the original job
 argument); ``--first/--last yyyyMMddHH`` selects a span for backfills instead.
