@@ -92,7 +92,10 @@ def local_test_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> Sp
     extra = {"spark.driver.memory": os.environ.get("FLEETLAKE_DRIVER_MEMORY", "16g"),
              "spark.sql.execution.arrow.pyspark.enabled": "true",
              # small test data: let AQE keep several tasks per stage instead of one
-             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB"}
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+             # local disk: list partition folders on the driver (a listing job costs more
+             # than it saves); object stores on a cluster keep the parallel default
+             "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"}
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=shuffle_partitions, extra=extra)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
