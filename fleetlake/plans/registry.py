@@ -368,14 +368,14 @@ def q_stream_hourly_watermark(spark, sf):
     """V7: chained event-time windows in append mode; each run takes the files
     landed since the last run (time-ordered chunks), like a scheduled job."""
     from fleetlake.streaming.rollup import hourly_means_stream
-    from fleetlake.sources.lake import _with_hour
+    from fleetlake.sources.lake import with_hour_column
     from fleetlake.schemas import SILVER
     silver = _silver(spark, sf)
     src, out, ckpt = scratch_path(spark, "silver"), scratch_path(spark, "hourly"), scratch_path(spark, "wm-ckpt")
     for lo, hi in STREAM_CHUNKS:
         chunk = silver.where((F.col("data_ref") >= lo) & (F.col("data_ref") < hi))
         write_hours(chunk, src, mode="append")
-        stream = spark.readStream.schema(_with_hour(SILVER)).parquet(src)
+        stream = spark.readStream.schema(with_hour_column(SILVER)).parquet(src)
         q = (hourly_means_stream(stream, STREAM_DELAY).writeStream.outputMode("append").format("parquet")
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
         q.awaitTermination()

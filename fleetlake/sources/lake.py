@@ -17,13 +17,13 @@ from fleetlake.schemas import SILVER, TABLES
 HOUR_COLUMN = StructField("hora_id_ref", StringType())
 
 
-def _with_hour(schema: StructType) -> StructType:
+def with_hour_column(schema: StructType) -> StructType:
     names = {f.name for f in schema.fields}
     return schema if "hora_id_ref" in names else StructType(schema.fields + [HOUR_COLUMN])
 
 
 def read_silver(spark: SparkSession, path: str, hours: Column | None = None) -> DataFrame:
-    df = spark.read.schema(_with_hour(SILVER)).parquet(path)
+    df = spark.read.schema(with_hour_column(SILVER)).parquet(path)
     return df.where(hours) if hours is not None else df
 
 
@@ -31,7 +31,7 @@ def read_gold(spark: SparkSession, root: str, table: str, hours: Column | None =
               *, keep_hour_column: bool = False) -> DataFrame:
     """One gold table, optionally restricted to an hour predicate."""
     t = TABLES[table]
-    df = spark.read.schema(_with_hour(t.schema)).parquet(f"{root.rstrip('/')}/{table}")
+    df = spark.read.schema(with_hour_column(t.schema)).parquet(f"{root.rstrip('/')}/{table}")
     if hours is not None:
         df = df.where(hours)
     return df if keep_hour_column or "hora_id_ref" in t.columns else df.select(*t.columns)

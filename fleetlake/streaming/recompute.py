@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetlake.plans.jobs import stats_job
 from fleetlake.schemas import HOUR_PARTITIONS, SILVER
-from fleetlake.sources.lake import _with_hour
+from fleetlake.sources.lake import with_hour_column
 
 
 def start_recompute(spark: SparkSession, silver_path: str, gold_root: str, checkpoint: str, *,
                     max_files_per_trigger: int | None = None, available_now: bool = True,
                     processing_time: str | None = None):
-    reader = spark.readStream.schema(_with_hour(SILVER))
+    reader = spark.readStream.schema(with_hour_column(SILVER))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(silver_path)
