@@ -218,6 +218,11 @@ def oracle_sql() -> dict[str, str]:
                    CAST(sum(qtde_onibus) AS BIGINT) AS total_onibus
             FROM a2 WHERE {_range(_TS_MIN, 0)} GROUP BY ALL"""),
         "stream_hourly_recompute": _q("SELECT * FROM a3"),
+        # closed = a document received at least 1 + 1 hours after the event hour (5-minute landing delay)
+        "stream_pipeline": _q(f"""
+            SELECT * FROM below
+            WHERE {_TS_HOUR} <= date_trunc('hour', (SELECT max({_TS_MIN}) FROM a2) + INTERVAL 5 MINUTE)
+                                - INTERVAL 2 HOUR"""),
         "stream_hourly_watermark": _q(f"""
             SELECT * FROM a3
             WHERE {_TS_HOUR} + INTERVAL 1 HOUR

@@ -16,7 +16,7 @@ FAST = [k for k in E.queries() if not k.startswith(("upsert_", "stream_")) and k
     "gold_roundtrip", "hour_overwrite", "flatten_positions", "silver_roundtrip", "hour_partition",
     "silver_job_late_documents", "target_job_roundtrip")]
 SLOW = ["flatten_positions", "silver_job_late_documents", "target_job_roundtrip", "upsert_linhas_abaixo_meta",
-        "hour_overwrite", "stream_hourly_recompute", "stream_hourly_watermark"]
+        "hour_overwrite", "stream_hourly_recompute", "stream_hourly_watermark", "stream_pipeline"]
 
 
 @pytest.fixture(scope="module")
