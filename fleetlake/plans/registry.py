@@ -39,6 +39,11 @@ STREAM_CHUNKS = (("00000000", "20240111"), ("20240111", "20240121"), ("20240121"
 
 # ---- shared building blocks ---------------------------------------------------
 
+def _ensure(spark, sf):
+    ensure_conf(spark)
+    return sf
+
+
 def _silver(spark, sf, exact=False) -> DataFrame:
     ensure_conf(spark)
     return fixtures.load_silver(spark, sf, exact_count=exact)
@@ -182,11 +187,6 @@ def q_target_one_hour(spark, sf):
     return targets.target_one_hour(meta, _gold(spark, sf)["media_onibus_por_linha"], *ONE_HOUR)
 
 
-def _ensure(spark, sf):
-    ensure_conf(spark)
-    return sf
-
-
 def q_target_job_roundtrip(spark, sf):
     """The target job over written hourly means, all hours, read back."""
     gold_root = scratch_path(spark, "gold")
