@@ -155,3 +155,14 @@ def test_cli_hour_list():
     class A:
         first, last, hours_back, zone = "2024011522", "2024011601", 0, "America/Sao_Paulo"
     assert hour_list(A) == [("20240115", "22"), ("20240115", "23"), ("20240116", "00"), ("20240116", "01")]
+
+
+def test_stats_job_upsert_mode_equals_overwrite(spark, tmp_root):
+    silver_path = f"{tmp_root}/silver"
+    write_hours(load_silver(spark, SF, exact_count=True), silver_path)
+    stats_job(spark, silver_path, f"{tmp_root}/a")
+    stats_job(spark, silver_path, f"{tmp_root}/b", upsert=True)
+    stats_job(spark, silver_path, f"{tmp_root}/b", upsert=True)      # second run only updates
+    for t in ("total_onibus_por_linha", "media_onibus_geral"):
+        cols = TABLES[t].columns
+        assert rows(read_gold(spark, f"{tmp_root}/a", t), *cols) == rows(read_gold(spark, f"{tmp_root}/b", t), *cols)
