@@ -34,7 +34,7 @@ TIME_FROM, TIME_TO = "2024-01-15 09:00:00", "2024-01-15 21:00:00"   # UTC = 06:0
 UPSERT_TARGET_LAST, UPSERT_STAGE_FIRST = "20240120", "20240115"
 LATE_CUTOFF = "2024-01-15 12:32:00"
 STREAM_DELAY = "10 minutes"
-STREAM_CHUNKS = (("00000000", "20240111"), ("20240111", "20240121"), ("20240121", "99999999"))
+STREAM_CHUNKS = (("00000000", "20240116"), ("20240116", "99999999"))
 
 
 # ---- shared building blocks ---------------------------------------------------
@@ -381,18 +381,16 @@ def q_stream_pipeline(spark, sf):
 def q_stream_hourly_watermark(spark, sf):
     """V7: chained event-time windows in append mode; each run takes the files
     landed since the last run (time-ordered chunks), like a scheduled job."""
-    from fleetlake.streaming.rollup import hourly_means_stream
-    from fleetlake.sources.lake import with_hour_column
     from fleetlake.schemas import SILVER
+    from fleetlake.sources.lake import with_hour_column
+    from fleetlake.streaming.rollup import start_hourly_means
     silver = _silver(spark, sf)
     src, out, ckpt = scratch_path(spark, "silver"), scratch_path(spark, "hourly"), scratch_path(spark, "wm-ckpt")
     for lo, hi in STREAM_CHUNKS:
         chunk = silver.where((F.col("data_ref") >= lo) & (F.col("data_ref") < hi))
         write_hours(chunk, src, mode="append")
         stream = spark.readStream.schema(with_hour_column(SILVER)).parquet(src)
-        q = (hourly_means_stream(stream, STREAM_DELAY).writeStream.outputMode("append").format("parquet")
-             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
-        q.awaitTermination()
+        start_hourly_means(spark, stream, out, ckpt, delay=STREAM_DELAY).awaitTermination()
     return spark.read.schema(TABLES["media_onibus_por_linha"].schema).parquet(out)
 
 

@@ -30,6 +30,15 @@ REQUIRED_CONF = {
 }
 
 
+# Tuning defaults, applied only when the cluster configuration does not set them.
+# With AQE's default parallelism-first coalescing, minPartitionSize is the only
+# floor; a small floor keeps small shuffles (gold tables, hour lists) spread over
+# the cores instead of one task, and has no effect on large shuffles.
+DEFAULT_TUNING = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+}
+
+
 def build_session(master: str | None = None, app: str = "fleetlake",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the library relies on."""
@@ -50,6 +59,10 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    launch = spark.sparkContext.getConf()
+    for k, v in DEFAULT_TUNING.items():
+        if not launch.contains(k):
+            spark.conf.set(k, v)
     checkpoint_root(spark)
     return spark
 
@@ -91,8 +104,6 @@ def local_test_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> Sp
     """Session for tests and the local bench (``local[N]``)."""
     extra = {"spark.driver.memory": os.environ.get("FLEETLAKE_DRIVER_MEMORY", "16g"),
              "spark.sql.execution.arrow.pyspark.enabled": "true",
-             # small test data: let AQE keep several tasks per stage instead of one
-             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
              # local disk: list partition folders on the driver (a listing job costs more
              # than it saves); object stores on a cluster keep the parallel default
              "spark.sql.sources.parallelPartitionDiscovery.threshold": "100000"}

@@ -28,3 +28,24 @@ def hourly_means_stream(silver_stream: DataFrame, delay: str = "10 minutes") ->
     return hourly.select(F.date_format(start, "yyyyMMdd").alias("data_ref"),
                          F.date_format(start, "HH").alias("hora_id_ref"),
                          *LINE_COLUMNS, "qtde_onibus")
+
+
+def start_hourly_means(spark, silver_stream: DataFrame, path: str, checkpoint: str, *, delay: str = "10 minutes",
+                       state_partitions: int = 16, available_now: bool = True, processing_time: str | None = None):
+    """Run ``hourly_means_stream`` into a Parquet sink (append: closed hours only).
+
+    The state-store partition count is fixed by the query's first start and kept
+    in its checkpoint.  The state here is one row per open window and line, so
+    it is sized explicitly (``state_partitions``) instead of inheriting the
+    session's shuffle width, which on a large cluster is sized for batch joins.
+    """
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        w = (hourly_means_stream(silver_stream, delay).writeStream.outputMode("append").format("parquet")
+             .option("checkpointLocation", checkpoint))
+        w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "3 minutes")
+        return w.start(path)
+    finally:
+        spark.conf.set(key, previous)
