@@ -128,4 +128,4 @@ def mark_done(spark: SparkSession, root: str, job: str, hours: list[tuple[str, s
     now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     rows = [(job, d, h, now) for d, h in hours]
     (spark.createDataFrame(rows, "job string, data_ref string, hora_id_ref string, finished_utc string")
-     .write.mode("append").parquet(f"{root.rstrip('/')}/_job_runs"))
+     .write.mode("append").partitionBy("job", "data_ref").parquet(f"{root.rstrip('/')}/_job_runs"))

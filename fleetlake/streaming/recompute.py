@@ -39,33 +39,44 @@ def start_recompute(spark: SparkSession, silver_path: str, gold_root: str, check
     return w.start()
 
 
-def closed_hours(spark: SparkSession, bronze_root: str, gold_root: str, lateness_hours: int) -> list[tuple[str, str]]:
+def closed_hours(spark: SparkSession, gold_root: str, newest_recv: str, lateness_hours: int,
+                 horizon_hours: int = 48, earliest: str | None = None) -> list[tuple[str, str]]:
     """Event hours that are final and not yet target-checked (V2/V3).
 
     An event hour ``h`` is closed once a document received in hour
-    ``h + 1 + lateness`` or later has landed.  The newest reception hour comes
-    from the landing's partition values; hours already checked come from the
-    completion marker rows, so the answer survives restarts.
+    ``h + 1 + lateness`` or later has landed; ``newest_recv`` (``yyyyMMddHH``)
+    is the newest reception hour seen, taken from the micro-batch itself.
+    Candidates are the hours with means from the earliest of: ``earliest``
+    (``yyyyMMddHH``; the first event hour the batch touched, or the hour just
+    before its oldest reception hour, whichever is older) and ``horizon_hours``
+    before the limit; hours already checked come from the completion markers.
+    Both reads are restricted on partition columns, so the work per trigger
+    follows what the batch covers, not the size of the table.
     """
     from datetime import datetime, timedelta
 
-    from fleetlake.sources.bronze import read_bronze
-    newest = read_bronze(spark, bronze_root).agg(F.max(F.concat("recv_date", "recv_hour"))).first()[0]
-    if newest is None:
-        return []
-    limit = datetime.strptime(newest, "%Y%m%d%H") - timedelta(hours=1 + lateness_hours)
+    limit = datetime.strptime(newest_recv, "%Y%m%d%H") - timedelta(hours=1 + lateness_hours)
+    first = limit - timedelta(hours=horizon_hours)
+    if earliest:
+        first = min(first, datetime.strptime(earliest, "%Y%m%d%H"))
+    lo, hi = first.strftime("%Y%m%d%H"), limit.strftime("%Y%m%d%H")
     key = F.concat("data_ref", "hora_id_ref")
-    means = spark.read.parquet(f"{gold_root.rstrip('/')}/media_onibus_por_linha").select("data_ref", "hora_id_ref")
-    todo = means.where(key <= limit.strftime("%Y%m%d%H")).distinct()
+    day_span = F.col("data_ref").between(first.strftime("%Y%m%d"), limit.strftime("%Y%m%d"))
+    means_path = f"{gold_root.rstrip('/')}/media_onibus_por_linha"
+    if not table_exists(spark, means_path):
+        return []
+    todo = (spark.read.parquet(means_path).where(key.between(lo, hi))
+            .select("data_ref", "hora_id_ref").distinct())
     runs = f"{gold_root.rstrip('/')}/_job_runs"
     if table_exists(spark, runs):
-        done = spark.read.parquet(runs).where(F.col("job") == "targets").select("data_ref", "hora_id_ref")
+        done = (spark.read.parquet(runs).where((F.col("job") == "targets") & day_span)
+                .select("data_ref", "hora_id_ref"))
         todo = todo.join(done, ["data_ref", "hora_id_ref"], "left_anti")
     return sorted((r[0], r[1]) for r in todo.collect())
 
 
 def start_pipeline(spark: SparkSession, bronze_root: str, lake_root: str, meta: DataFrame, checkpoint: str, *,
-                   lateness_hours: int = 1, max_files_per_trigger: int | None = None,
+                   lateness_hours: int = 1, horizon_hours: int = 48, max_files_per_trigger: int | None = None,
                    available_now: bool = True, processing_time: str | None = None):
     """V1-V3 as one stream over the bronze landing.
 
@@ -75,6 +86,8 @@ def start_pipeline(spark: SparkSession, bronze_root: str, lake_root: str, meta:
     Each step replaces whole hours, so a replayed epoch converges to the same
     tables.
     """
+    from datetime import datetime, timedelta
+
     from fleetlake.functions.timeutil import hour_id
     from fleetlake.operators.silver import reference_date
     from fleetlake.plans.jobs import silver_job, target_job
@@ -84,15 +97,24 @@ def start_pipeline(spark: SparkSession, bronze_root: str, lake_root: str, meta:
     reader = spark.readStream.schema(BRONZE_WITH_PARTITIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    docs = reader.json(bronze_root).select(reference_date().alias("data_ref"), hour_id("hr").alias("hora_id_ref"))
+    docs = reader.json(bronze_root).select(reference_date().alias("data_ref"), hour_id("hr").alias("hora_id_ref"),
+                                           F.concat("recv_date", "recv_hour").alias("recv_key"))
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         s = batch.sparkSession
-        hours = sorted((r[0], r[1]) for r in batch.distinct().collect())
-        if hours:
-            silver_job(s, bronze_root, f"{lake}/silver", hours, lateness_hours)
-            stats_job(s, f"{lake}/silver", f"{lake}/gold", hours)
-        ready = closed_hours(s, bronze_root, f"{lake}/gold", lateness_hours)
+        # one row per event hour of this batch, with the reception hours seen for it
+        seen = (batch.groupBy("data_ref", "hora_id_ref")
+                .agg(F.max("recv_key").alias("newest"), F.min("recv_key").alias("oldest")).collect())
+        if not seen:
+            return
+        hours = sorted((r[0], r[1]) for r in seen)
+        silver_job(s, bronze_root, f"{lake}/silver", hours, lateness_hours)
+        stats_job(s, f"{lake}/silver", f"{lake}/gold", hours)
+        # hours this batch can close: from just before its oldest reception hour on
+        oldest = datetime.strptime(min(r[3] for r in seen), "%Y%m%d%H") - timedelta(hours=2 + lateness_hours)
+        earliest = min(min(d + h for d, h in hours), oldest.strftime("%Y%m%d%H"))
+        ready = closed_hours(s, f"{lake}/gold", max(r[2] for r in seen), lateness_hours, horizon_hours,
+                             earliest=earliest)
         if ready:
             target_job(s, f"{lake}/gold", meta, ready)
 
