@@ -60,3 +60,12 @@ def test_panel_range_reaches_gold_scan(spark, tmp_root):
                                "2024-01-15 09:00:00", "2024-01-15 21:00:00", 3)
     p = plan(df)
     assert "PartitionFilters: [" in p and "20240115" in p
+
+
+def test_landing_read_of_one_reception_hour_prunes(spark, tmp_root):
+    from fleetlake.sources.bronze import read_bronze, reception_hour, write_bronze
+    write_bronze(fixtures.load_bronze(spark, SF), tmp_root)
+    df = read_bronze(spark, tmp_root, reception_hour("20240115", "10"))
+    p = plan(df)
+    assert "PartitionFilters: [" in p and "20240115" in p
+    assert df.count() == df.where("recv_date = '20240115' AND recv_hour = '10'").count() > 0
