@@ -64,8 +64,11 @@ def test_panel_range_reaches_gold_scan(spark, tmp_root):
 
 def test_landing_read_of_one_reception_hour_prunes(spark, tmp_root):
     from fleetlake.sources.bronze import read_bronze, reception_hour, write_bronze
-    write_bronze(fixtures.load_bronze(spark, SF), tmp_root)
-    df = read_bronze(spark, tmp_root, reception_hour("20240115", "10"))
+    docs = fixtures.load_bronze(spark, SF)
+    write_bronze(docs, tmp_root)
+    first = docs.select("recv_date", "recv_hour").orderBy("recv_date", "recv_hour").first()
+    df = read_bronze(spark, tmp_root, reception_hour(first[0], first[1]))
     p = plan(df)
-    assert "PartitionFilters: [" in p and "20240115" in p
-    assert df.count() == df.where("recv_date = '20240115' AND recv_hour = '10'").count() > 0
+    assert "PartitionFilters: [" in p and first[0] in p
+    expected = docs.where((docs.recv_date == first[0]) & (docs.recv_hour == first[1])).count()
+    assert df.count() == expected > 0
