@@ -97,13 +97,14 @@ def upsert_table(spark: SparkSession, stage: DataFrame, root: str, table: str, *
         assert_keys_valid(staged, t.keys)
     # the touched hours: one row per (date, hour) of the stage – a handful per run
     touched = sorted({r[0] + r[1] for r in staged.select(*HOUR_PARTITIONS).distinct().collect()})
-    if table_exists(spark, path):
-        # a predicate on partition columns only: the scan lists and reads just those hours
-        hours = F.concat(F.col("data_ref"), F.col("hora_id_ref")).isin(touched)
+    # a predicate on partition columns only: the scan reads just those hours.  The
+    # declared-schema reader fails at once on a missing table (first run).
+    hours = F.concat(F.col("data_ref"), F.col("hora_id_ref")).isin(touched)
+    try:
         current = read_gold(spark, root, table, hours, keep_hour_column=True)
-        merged = upsert_frames(current.select(*staged.columns), staged, t.keys)
-    else:
-        merged = staged
+    except AnalysisException:
+        current = None
+    merged = staged if current is None else upsert_frames(current.select(*staged.columns), staged, t.keys)
     checkpoint_root(spark)
     merged = merged.checkpoint(eager=True)   # cut the lineage before overwriting the source hours
     write_hours(merged, path)
