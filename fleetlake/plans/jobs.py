@@ -108,7 +108,8 @@ def stats_job(spark: SparkSession, silver_path: str, gold_root: str,
     def writer(name, df):
         if upsert:
             return lambda: upsert_table(spark, df, gold_root, name)
-        return lambda: write_hours(df, f"{gold_root.rstrip('/')}/{name}")
+        return lambda: write_hours(df, f"{gold_root.rstrip('/')}/{name}", layout="hash",
+                                   hours_hint=len(hours) if hours else None)
 
     try:
         run_concurrently({name: writer(name, df) for name, df in out.items()})
@@ -135,7 +136,7 @@ def target_job(spark: SparkSession, gold_root: str, meta: DataFrame,
             path = f"{gold_root.rstrip('/')}/{name}"
 
             def run():
-                write_hours(df, path)
+                write_hours(df, path, layout="hash", hours_hint=len(processed))
                 clear_hours(spark, path, df, processed, TABLES[name].schema)
             return run
         run_concurrently({name: writer(name, df) for name, df in outs.items()})

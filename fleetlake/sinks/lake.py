@@ -37,15 +37,30 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_hours(df: DataFrame, path: str, partition_cols=HOUR_PARTITIONS, *, rebalance: bool = True,
+                layout: str | None = None, hours_hint: int | None = None,
                 max_records_per_file: int | None = None, mode: str = "overwrite") -> None:
     """Write partitioned by (date, hour); ``overwrite`` replaces only the hours present.
 
-    ``rebalance`` clusters rows by hour before the write (``REBALANCE`` hint):
-    each hour is written by few tasks instead of every task writing a file into
-    every hour, and AQE splits a hot hour over several tasks and merges small
-    ones, so file sizes follow the advisory partition size at any scale.
+    Layouts:
+
+    * ``"rebalance"`` (default) – ``REBALANCE`` hint on the partition columns:
+      each hour is written by few tasks, and AQE splits a hot hour over several
+      tasks and merges small ones.  For raw rows, where one hour may be huge.
+    * ``"hash"`` – hash-partition by hour into ``min(hours_hint, shuffle
+      partitions)`` tasks: one file per hour, all hours written in parallel.
+      For gold tables, whose rows per hour are bounded by lines x polls, so no
+      hour can overload a task, and tiny tables (one row per hour) are not
+      coalesced into a single task writing thousands of files.
+    * ``"none"`` – keep the upstream partitioning (narrow plans whose tasks
+      already hold one or two hours).
     """
-    out = df.hint("rebalance", *partition_cols) if rebalance else df
+    layout = layout or ("rebalance" if rebalance else "none")
+    out = df
+    if layout == "rebalance":
+        out = df.hint("rebalance", *partition_cols)
+    elif layout == "hash":
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartition(max(1, min(width, hours_hint or width)), *partition_cols)
     w = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -107,7 +122,7 @@ def upsert_table(spark: SparkSession, stage: DataFrame, root: str, table: str, *
     merged = staged if current is None else upsert_frames(current.select(*staged.columns), staged, t.keys)
     checkpoint_root(spark)
     merged = merged.checkpoint(eager=True)   # cut the lineage before overwriting the source hours
-    write_hours(merged, path)
+    write_hours(merged, path, layout="hash", hours_hint=len(touched))
     return merged
 
 
