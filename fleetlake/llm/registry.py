@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetlake.llm.jaccard_join import op7_jaccard_join
 from fleetlake.llm.packing import op9_packing
+from fleetlake.llm.substring_dedup import op2_substring_dedup
+from fleetlake.llm.suffix_dedup import op4_suffix_dedup
 from fleetlake.llm.token_shards import op1_token_shards
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_shards": op1_token_shards,
+        "op2_substring_dedup": op2_substring_dedup,
+        "op4_suffix_dedup": op4_suffix_dedup,
+        "op7_jaccard_join": op7_jaccard_join,
         "op9_packing": op9_packing,
     }
 
