@@ -20,7 +20,7 @@ def _at(path: str) -> tuple[fs.FileSystem, str]:
 def open_output(path: str):
     store, at = _at(path)
     store.create_dir(at.rsplit("/", 1)[0], recursive=True)
-    return store.open_output_stream(at, buffer_size=1 << 20)
+    return store.open_output_stream(at, compression=None, buffer_size=1 << 20)
 
 
 def open_input(path: str):
