@@ -37,8 +37,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns ``k1, k2, id, text`` and no others.
+def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
+    """Columns ``k1, k2, id, text`` and no others but, on ``carry``, the whole ``row``.
 
     ``(k1, k2)`` names a distinct (id, text) pair, nulls included: ``k1`` is the
     id (0 for null), ``k2`` a 64-bit hash of the text and of both null marks.
@@ -48,7 +48,7 @@ def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(
         F.coalesce(i, F.lit(0).cast("long")).alias("k1"),
         F.xxhash64(i.isNull(), t.isNull(), t).alias("k2"),
-        i.alias("id"), t.alias("text"))
+        i.alias("id"), t.alias("text"), *([F.struct(*[docs[c] for c in docs.columns]).alias("row")] if carry else []))
 
 
 def flat(col) -> tuple[np.ndarray, np.ndarray]:

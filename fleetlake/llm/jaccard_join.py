@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlake.llm.common import LOWER, P1, U64, cut, flat, gram_hashes, mix, row_key, slices, table, word_bounds, word_hashes
@@ -257,6 +257,17 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, id_
                     F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id")))
 
 
+def one_per_group(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+    """The documents with the least id of their group, one row for each id, with all
+    their columns; rows with a null id stay."""
+    groups = jaccard_groups(docs, k, num, den)
+    kept = groups.where("component_id = doc_id").select(F.col("doc_id").alias("__llm_kept")).distinct()
+    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("__llm_kept"))
+    order = Window.partitionBy("__llm_kept").orderBy(F.xxhash64("text"))
+    return (named.withColumn("__llm_row", F.row_number().over(order)).where("__llm_row = 1").drop("__llm_row", "__llm_kept")
+            .unionByName(docs.where("doc_id IS NULL")))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, Jaccard of at least 0.9."""
     return jaccard_groups(table(spark, sf_dir, "documents"), 3, 90, 100)

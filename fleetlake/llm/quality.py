@@ -249,17 +249,24 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", bound: i
     return pooling, Network.train(x[order], y[order], np.array([r["part"] for r in got])[order] == 1)
 
 
-def score(docs: DataFrame, pooling: Pooling, network) -> DataFrame:
-    """The table with one more column, ``_score``; no shuffle."""
+def score(docs: DataFrame, pooling: Pooling, network, name: str = "_score") -> DataFrame:
+    """The table with one more column, the score; no shuffle."""
     from pyspark.sql.types import DoubleType, StructField, StructType
-    names = docs.columns
+    names, at = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offs = flat(batch.column("text"))
+            data, offs = flat(batch.column(at))
             parts = [network.score(pooling.features(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])) for a, b in slices(offs, 1 << 19)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())], [*names, "_score"])
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_score", DoubleType())]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate([np.zeros(0), *parts]), pa.float64())], [*names, name])
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.3) -> DataFrame:
+    """The documents whose score reaches ``least``, with all their columns."""
+    pooling, network = fit(docs, labels)
+    name = "__llm_score"
+    return score(docs, pooling, network, name).where(F.col(name) >= least).drop(name)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,22 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetlake.llm.block_knn import OP10_SQL, op10_block_knn
+from fleetlake.llm.chat import OP5_SQL, op5_chat
+from fleetlake.llm.decontaminate import op3_decontaminate
 from fleetlake.llm.jaccard_join import op7_jaccard_join
 from fleetlake.llm.packing import op9_packing
+from fleetlake.llm.quality import op8_quality
 from fleetlake.llm.substring_dedup import op2_substring_dedup
 from fleetlake.llm.suffix_dedup import op4_suffix_dedup
 from fleetlake.llm.token_shards import op1_token_shards
+from fleetlake.llm.warc import op6_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_shards": op1_token_shards,
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_decontaminate": op3_decontaminate,
         "op4_suffix_dedup": op4_suffix_dedup,
+        "op5_chat": op5_chat,
+        "op6_warc": op6_warc,
         "op7_jaccard_join": op7_jaccard_join,
+        "op8_quality": op8_quality,
         "op9_packing": op9_packing,
+        "op10_block_knn": op10_block_knn,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_chat": OP5_SQL, "op10_block_knn": OP10_SQL}

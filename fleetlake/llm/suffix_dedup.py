@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetlake.llm.common import flat, row_key, runs, table
 from fleetlake.llm.dup_windows import Scheme, covered, decide, occurrences, per_row, span_lists
@@ -148,7 +149,7 @@ def level_answers(length: int, batch_bytes: int, first: bool):
     return index
 
 
-def _finish(length: int, first: bool):
+def _finish(length: int, first: bool, carry: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = flat(batch.column("text"))
@@ -169,15 +170,17 @@ def _finish(length: int, first: bool):
                 digest.append(hashlib.sha256(kept).hexdigest())
                 kept_text.append(kept)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.diff(offs)), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
-                                              pa.array(digest, pa.string()), pa.array(kept_text, pa.binary())],
-                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                                              pa.array(digest, pa.string()), pa.array(kept_text, pa.binary()),
+                                              *([pa.array([x.decode("utf-8", "ignore") for x in kept_text]), batch.column("row")] if carry else [])],
+                                             ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", *(["kept_text", "row"] if carry else [])])
     return run
 
 
 def suffix_dedup(docs: DataFrame, length: int = 200, keep: str = "none", id_col: str = "doc_id", text_col: str = "text",
-                 batch_bytes: int = BATCH_BYTES) -> DataFrame:
+                 batch_bytes: int = BATCH_BYTES, carry: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) per row; ``kept`` is binary,
-    for a cut may split a character."""
+    for a cut may split a character.  ``carry``: also the whole characters of it as
+    ``kept_text`` and the input row as ``row``."""
     if keep not in ("none", "first"):
         raise ValueError("keep is 'none' or 'first'")
     first = keep == "first"
@@ -187,8 +190,28 @@ def suffix_dedup(docs: DataFrame, length: int = 200, keep: str = "none", id_col:
     several = F.col("lo") != F.col("hi") if first else F.col("c") > 1
     found = occurrences(keyed.where("id IS NOT NULL") if first else keyed, scheme, several)
     spans = per_row(found, decide(found, level_answers(length, batch_bytes, first), batch_bytes))
-    return keyed.join(spans, ["k1", "k2"], "left").select("id", "k1", "text", "spans").mapInArrow(
-        _finish(length, first), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    if carry:
+        keyed = row_key(docs, id_col, text_col, carry=True)
+    schema = [("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()),
+              ("kept", T.BinaryType()), *([("kept_text", T.StringType()), ("row", docs.schema)] if carry else [])]
+    return keyed.join(spans, ["k1", "k2"], "left").drop("k2").mapInArrow(_finish(length, first, carry), T.StructType([T.StructField(*x) for x in schema]))
+
+
+def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+    """The documents without what an earlier document (by id) holds too, with all
+    their columns and, if there is one, a new ``n_chars``.  A character that a cut
+    splits goes; documents of which nothing is left go too."""
+    done = suffix_dedup(docs, length, "first", carry=True)
+    gone = F.col("n_removed") > 0
+    text = F.when(gone, F.col("kept_text")).otherwise(F.col("row.text"))
+
+    def column(c: str) -> F.Column:
+        if c == "text":
+            return text.alias(c)
+        if c == "n_chars":
+            return F.when(gone, F.length("kept_text").cast(docs.schema[c].dataType)).otherwise(F.col("row.n_chars")).alias(c)
+        return F.col("row").getField(c).alias(c)
+    return done.where(~gone | (F.length("kept_text") > 0)).select(*map(column, docs.columns))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
