@@ -10,12 +10,14 @@ whole, and so is everything under any other kind of tokenizer.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 
 import numpy as np
 
 MEMO_PIECES = 1_500_000
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _OPEN: dict[str, "Encoder"] = {}
 
 
@@ -27,20 +29,25 @@ class _Memo(dict):
         self.encoder, self.prefix = encoder, prefix
 
     def learn(self, pieces: set[str]) -> None:
-        fresh = []
+        """Encode new pieces.  A run of punctuation after a letter is a pre-token of
+        its own, so a word with any such tail is encoded once, without it."""
+        plain, tailed, tails, added = set(), [], self.encoder.tails, self.encoder.added
         for p in pieces:
             if not p or p.strip() != p:
                 continue
-            if len(p) > 1 and p[-1] in ".,!" and p[-2].isalpha():
-                fresh.append(p[:-1])
+            stem = p.rstrip(PUNCTUATION)
+            if len(stem) < len(p) and stem and stem[-1].isalpha() and not any(t in p for t in added):
+                tailed.append((p, stem))
+                if stem not in self:
+                    plain.add(stem)
+                tail = p[len(stem):]
+                if tail not in tails:
+                    tails[tail] = self.encoder.encode_whole([tail])[0]
             else:
-                fresh.append(p)
-        fresh = [p for p in dict.fromkeys(fresh) if p not in self]
+                plain.add(p)
+        fresh = list(plain)
         self.update(zip(fresh, self.encoder.encode_pieces([self.prefix + p for p in fresh]), strict=True))
-        mark = self.encoder.mark
-        for p in pieces:
-            if p not in self and p and p.strip() == p:
-                self[p] = self[p[:-1]] + mark[p[-1]]
+        self.update([(p, self[stem] + tails[p[len(stem):]]) for p, stem in tailed])
 
 
 class Encoder:
@@ -57,7 +64,7 @@ class Encoder:
         # an added token's text could hold a space or join pieces
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.by_piece = self.by_piece and not any(c.isspace() for t in self.added for c in t)
-        self.mark = dict(zip(".,!", self.encode_whole([".", ",", "!"]), strict=True))
+        self.tails: dict[str, bytes] = {}
         self.newline = self.encode_whole(["\n"])[0]
         self.first, self.rest = _Memo(self, ""), _Memo(self, " ")
 
@@ -77,43 +84,52 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Id bytes (little-endian, the vocabulary's width) of each whole text."""
         texts = [t or "" for t in texts]
-        for memo in (self.first, self.rest):
+        for memo in (self.first, self.rest, self.tails):
             if len(memo) > MEMO_PIECES:
                 memo.clear()
         if not self.by_piece:
             return self.encode_whole(texts)
-        out: list[bytes | None] = []
+        gc.disable()  # millions of short-lived lists and no cycles
+        try:
+            return self._by_piece(texts)
+        finally:
+            gc.enable()
+
+    def _by_piece(self, texts: list[str]) -> list[bytes]:
+        lines: list[list[bytes]] = []
         open_, asked_first, asked_rest = [], set(), set()
         first, rest, join = self.first.get, self.rest.get, b"".join
-        for i, t in enumerate(texts):
-            done = True
+        for t in texts:
             parts = []
             for line in t.split("\n") if t else ():
                 pieces = line.split(" ")
                 ids = list(map(rest, pieces))
                 ids[0] = first(pieces[0])
                 if None in ids:
-                    done = False
-                    if ids[0] is None:
-                        asked_first.add(pieces[0])
-                        ids[0] = b""
-                    asked_rest.update([p for p, v in zip(pieces, ids, strict=True) if v is None])
-                elif done:
+                    gaps = [i for i, v in enumerate(ids) if v is None]
+                    open_.append((len(lines), len(parts), pieces, ids, gaps))
+                    new = [pieces[i] for i in gaps]
+                    if gaps[0] == 0:
+                        asked_first.add(new[0])
+                        del new[0]
+                    asked_rest.update(new)
+                    parts.append(b"")
+                else:
                     parts.append(join(ids))
-            out.append(self.newline.join(parts) if done else None)
-            if not done:
-                open_.append(i)
+            lines.append(parts)
         self.first.learn(asked_first)
         self.rest.learn(asked_rest)
-        whole = []
-        first, rest = self.first.__getitem__, self.rest.__getitem__
-        for i in open_:
-            try:
-                pieces = [line.split(" ") for line in texts[i].split("\n")]
-                out[i] = self.newline.join([first(p[0]) + join(map(rest, p[1:])) for p in pieces])
-            except KeyError:
-                whole.append(i)
-        for i, ids in zip(whole, self.encode_whole([texts[i] for i in whole]), strict=True):
+        whole = set()
+        for text, line, pieces, ids, gaps in open_:
+            for i in gaps:
+                ids[i] = rest(pieces[i]) if i else first(pieces[0])
+            if None in ids:
+                whole.add(text)
+            else:
+                lines[text][line] = join(ids)
+        out = [self.newline.join(parts) for parts in lines]
+        some = sorted(whole)
+        for i, ids in zip(some, self.encode_whole([texts[i] for i in some]), strict=True):
             out[i] = ids
         return out
 
