@@ -13,6 +13,7 @@ from __future__ import annotations
 import gc
 import json
 import os
+import struct
 
 import numpy as np
 
@@ -45,11 +46,21 @@ class _Memo(dict):
                     tails[tail] = self.encoder.encode_whole([tail])[0]
             else:
                 plain.add(p)
-        fresh = list(plain)
-        self.update(zip(fresh, self.encoder.encode_pieces([self.prefix + p for p in fresh]), strict=True))
+        words = [p for p in plain if p.isalpha()]
+        self.update(zip(words, self.encoder.encode_words([self.prefix + p for p in words]), strict=True))
+        other = [p for p in plain if not p.isalpha()]
+        self.update(zip(other, self.encoder.encode_pieces([self.prefix + p for p in other]), strict=True))
         self.update([(p, self[stem] + tails[p[len(stem):]]) for p, stem in tailed])
 
 
+def byte_characters() -> dict[int, str]:
+    """How byte-level tokenizers write each byte: printable Latin-1 as itself, the
+    others, in order, as the characters from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -64,6 +75,8 @@ class Encoder:
         # an added token's text could hold a space or join pieces
         self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.by_piece = self.by_piece and not any(c.isspace() for t in self.added for c in t)
+        self.model = self.tok.model
+        self.letters = byte_characters()
         self.tails: dict[str, bytes] = {}
         self.newline = self.encode_whole(["\n"])[0]
         self.first, self.rest = _Memo(self, ""), _Memo(self, " ")
@@ -71,6 +84,18 @@ class Encoder:
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of letters after at most one space: each is one pre-token, so the
+        library's model can be asked for it directly."""
+        ask, table, pack = self.model.tokenize, self.letters, struct.pack
+        width = "H" if self.dtype.itemsize == 2 else "I"
+        shape = [f"<{n}{width}" for n in range(33)]
+        out = []
+        for w in words:
+            ids = [t.id for t in ask(w.encode().decode("latin-1").translate(table))]
+            out.append(pack(shape[len(ids)] if len(ids) < 33 else f"<{len(ids)}{width}", *ids))
+        return out
+
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """As ``encode_whole``, in one call that keeps the pieces apart."""
         if not pieces:
