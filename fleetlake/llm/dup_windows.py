@@ -155,12 +155,14 @@ def _segment_rows(s: Scheme):
 OCCURRENCES = "k1 long, k2 long, pos int, key long, digest binary, seg binary"
 
 
-def occurrences(keyed: DataFrame, s: Scheme, several) -> DataFrame:
-    """Candidate segments of every row.  ``several``: condition on ``lo, hi`` (least
-    and greatest k1) and ``c`` (occurrences) under which an anchor is kept."""
+def occurrences(keyed: DataFrame, s: Scheme, by_row: bool) -> DataFrame:
+    """Candidate segments of every row.  An anchor is kept if it occurs under two
+    values of k1 (``by_row``), else if it occurs twice."""
     anchors = cut(keyed.select("k1", "k2", "text").mapInArrow(_anchor_rows(s), "h long, k1 long, k2 long, c int"), "anchors")
-    kept = (anchors.groupBy("h").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"), F.sum("c").alias("c"))
-            .where(several).select("h"))
+    if by_row:
+        kept = anchors.groupBy("h").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("h")
+    else:
+        kept = anchors.groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h")
     hashes = anchors.select("h", "k1", "k2").join(kept, "h").groupBy("k1", "k2").agg(F.collect_set("h").alias("hashes"))
     found = keyed.select("k1", "k2", "text").join(hashes, ["k1", "k2"]).mapInArrow(_segment_rows(s), OCCURRENCES)
     return cut(found, "segments")

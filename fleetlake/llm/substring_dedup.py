@@ -22,7 +22,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fleetlake.llm.common import flat, row_key, table, word_bounds, word_hashes
 from fleetlake.llm.dup_windows import Scheme, covered, decide, occurrences, per_row, span_lists
@@ -97,7 +96,7 @@ def substring_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", t
     keyed = row_key(docs, id_col, text_col)
     gram = max(1, length // 6)
     scheme = Scheme("word", length, max(gram, length * 4 // 5), gram, 64, 1 << 20)
-    found = occurrences(keyed.where("id IS NOT NULL"), scheme, F.col("lo") != F.col("hi"))
+    found = occurrences(keyed.where("id IS NOT NULL"), scheme, True)
     spans = per_row(found, decide(found, fm_answers(length, index_words), CHUNK_BYTES))
     return keyed.join(spans, ["k1", "k2"], "left").select("id", "k1", "text", "spans").mapInArrow(
         _finish(length), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -34,34 +34,51 @@ from pyspark.sql import types as T
 from fleetlake.llm.common import flat, row_key, runs, table
 from fleetlake.llm.dup_windows import Scheme, covered, decide, occurrences, per_row, span_lists
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 17
 LEVEL_BYTES = 1 << 23
 NEVER = np.iinfo(np.int64).max
 
 
-def suffix_ranks(raw: np.ndarray, length: int) -> np.ndarray:
-    """Rank of every suffix by its first ``length`` bytes (equal prefixes tie);
-    past the end counts as zero bytes."""
-    n = len(raw)
-    width = 1
-    rank = raw.astype(np.uint64)
-    while width < 8 and width * 2 <= length:
-        rank = (rank << np.uint64(8 * width)) | np.concatenate((rank[width:], np.zeros(min(width, n), np.uint64)))[:n]
+def _settled(high: np.ndarray, low: np.ndarray | None, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, rank) of the pairs (high, low); equal pairs share a rank.  Pair and
+    position are sorted as one number where they fit 64 bits."""
+    n = len(high)
+    shift = np.uint64(max(1, int(n - 1).bit_length()))
+    key = high if low is None else (high << np.uint64(bits)) | low
+    width = bits if low is None else 2 * bits
+    if width + int(shift) <= 64:
+        packed = (key << shift) | np.arange(n, dtype=np.uint64)
+        packed.sort()
+        order = (packed & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+        packed >>= shift
+    else:
+        order = np.argsort(key, kind="stable")
+        packed = key[order]
+    rank = np.empty(n, np.uint64)
+    step = np.zeros(n, np.uint64)
+    np.cumsum(packed[1:] != packed[:-1], out=step[1:])
+    rank[order] = step
+    return order, rank
+
+
+def _shifted(x: np.ndarray, by: int) -> np.ndarray:
+    """x[i + by], past the end the least value."""
+    return np.concatenate((x[by:], np.zeros(min(by, len(x)), np.uint64)))
+
+
+def suffix_ranks(raw: np.ndarray, length: int) -> tuple[np.ndarray, int]:
+    """(rank of every suffix by its first ``width`` bytes, width), by prefix doubling
+    to the last width below ``length``."""
+    rank, width = raw.astype(np.uint64) + np.uint64(1), 1
+    while width < 4 and 2 * width < length:
+        rank = (rank << np.uint64(9 * width)) | _shifted(rank, width)
         width *= 2
-
-    def settle(key: np.ndarray) -> np.ndarray:
-        order = np.argsort(key)
-        sorted_ = key[order]
-        out = np.empty(n, np.uint64)
-        out[order] = np.concatenate(([0], np.cumsum(sorted_[1:] != sorted_[:-1]))).astype(np.uint64)
-        return out
-
-    rank = settle(rank)
-    while width < length:
-        step = min(width, length - width)
-        rank = settle((rank << np.uint64(32)) | np.concatenate((rank[step:], np.zeros(min(step, n), np.uint64)))[:n])
-        width += step
-    return rank
+    _, rank = _settled(rank, None, 9 * width)
+    bits = max(1, int(len(raw)).bit_length())
+    while 2 * width < length:
+        _, rank = _settled(rank, _shifted(rank, width), bits)
+        width *= 2
+    return rank, width
 
 
 class Level:
@@ -74,12 +91,14 @@ class Level:
         size = np.array([len(s) for s in segs], np.int64)
         base = np.cumsum(size) - size
         n = size - length + 1
-        self.owner = np.repeat(np.arange(len(segs)), n)
-        self.start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        rank = suffix_ranks(raw, length)[base[self.owner] + self.start]
-        order = np.argsort(rank, kind="stable")
-        self.owner, self.start = self.owner[order], self.start[order]
-        self.edge = np.flatnonzero(np.concatenate(([True], rank[order][1:] != rank[order][:-1])))
+        owner = np.repeat(np.arange(len(segs)), n)
+        start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        rank, width = suffix_ranks(raw, length)
+        at = base[owner] + start
+        # the first ``length`` bytes are two overlapping prefixes of ``width`` bytes
+        order, rank = _settled(rank[at], rank[at + length - width], max(1, int(len(raw)).bit_length()))
+        self.owner, self.start = owner[order], start[order]
+        self.edge = np.flatnonzero(np.diff(rank[order].astype(np.int64), prepend=-1))
 
     def classes(self):
         """Windows in suffix order: (segment, start, first window of each class)."""
@@ -187,8 +206,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, keep: str = "none", id_col:
     keyed = row_key(docs, id_col, text_col)
     gram = max(1, min(16, length // 4))
     scheme = Scheme("byte", length, max(gram, length * 9 // 10), gram, 256, 1 << 19)
-    several = F.col("lo") != F.col("hi") if first else F.col("c") > 1
-    found = occurrences(keyed.where("id IS NOT NULL") if first else keyed, scheme, several)
+    found = occurrences(keyed.where("id IS NOT NULL") if first else keyed, scheme, first)
     spans = per_row(found, decide(found, level_answers(length, batch_bytes, first), batch_bytes))
     if carry:
         keyed = row_key(docs, id_col, text_col, carry=True)
