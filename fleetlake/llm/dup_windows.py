@@ -13,7 +13,7 @@ always meet in one task and no text is compared with the whole corpus:
    as one segment (run plus the L-1 units that its last window needs), keyed by
    that hash.
 3. ``distinct segments``: equal segments are one row with their least document
-   id and number of occurrences, combined before the shuffle; so a passage that
+   id and number of occurrences, combined in each task before the shuffle; so a passage that
    a third of all documents share costs its holders one pre-aggregated row.
    What stays under one key are segments of unequal extent or content.
 4. An index (FM-index or suffix-array levels) over the segments of one key says
@@ -168,32 +168,63 @@ def occurrences(keyed: DataFrame, s: Scheme, by_row: bool) -> DataFrame:
     return cut(found, "segments")
 
 
+COMBINE_BYTES = 32 << 20
+
+
+def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal segments of a task as one row, before the shuffle."""
+    held: dict[bytes, list] = {}
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        cols = list(zip(*held.values(), strict=True))
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))],
+                                          ["digest", "key", "seg", "lo", "c"])
+    for batch in batches:
+        for digest, key, seg, k1 in zip(*(batch.column(c).to_pylist() for c in ("digest", "key", "seg", "k1")), strict=True):
+            if (row := held.get(digest)) is None:
+                held[digest] = [key, seg, k1, 1]
+                size += len(seg)
+            else:
+                row[2] = min(row[2], k1)
+                row[3] += 1
+        if size > COMBINE_BYTES:
+            yield out()
+            held, size = {}, 0
+    if held:
+        yield out()
+
+
 def decide(found: DataFrame, index: Callable, chunk_units: int) -> DataFrame:
-    """``index(segs, lo, c)`` -> one answer (bytes) for each distinct segment.
+    """``index(segs, lo, c, keys)`` -> one answer (bytes) for each distinct segment.
 
-    Distinct segments are dealt by key; a task hands whole keys to the index, as
-    many as fit ``chunk_units`` bytes."""
-    distinct = (found.groupBy("key", "seg", "digest").agg(F.min("k1").alias("lo"), F.count(F.lit(1)).alias("c"))
-                .repartition("key").sortWithinPartitions("key"))
+    Equal segments are combined in each task and then dealt by key; a task hands
+    whole keys to the index, as many as fit ``chunk_units`` bytes."""
+    dealt = (found.select("digest", "key", "seg", "k1").mapInArrow(_combined, "digest binary, key long, seg binary, lo long, c long")
+             .repartition("key").sortWithinPartitions("key", "digest"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size, last = 0, None
+        held: list[list] = []
+        size = 0
 
         def flush() -> pa.RecordBatch:
-            out = index([x[0] for x in held], np.array([x[2] for x in held], np.int64), np.array([x[3] for x in held], np.int64), [x[4] for x in held])
-            return pa.RecordBatch.from_arrays([pa.array([x[1] for x in held], pa.binary()), pa.array(out, pa.binary())], ["digest", "answer"])
+            out = index([x[2] for x in held], np.array([x[3] for x in held], np.int64), np.array([x[4] for x in held], np.int64), [x[1] for x in held])
+            return pa.RecordBatch.from_arrays([pa.array([x[0] for x in held], pa.binary()), pa.array(out, pa.binary())], ["digest", "answer"])
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("seg", "digest", "lo", "c", "key")), strict=True):
-                if row[4] != last and size >= chunk_units:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("digest", "key", "seg", "lo", "c")), strict=True):
+                if held and held[-1][0] == row[0]:
+                    held[-1][3] = min(held[-1][3], row[3])
+                    held[-1][4] += row[4]
+                    continue
+                if held and row[1] != held[-1][1] and size >= chunk_units:
                     yield flush()
                     held, size = [], 0
-                last = row[4]
-                held.append(row)
-                size += len(row[0])
+                held.append(list(row))
+                size += len(row[2])
         if held:
             yield flush()
-    return distinct.mapInArrow(run, "digest binary, answer binary")
+    return dealt.mapInArrow(run, "digest binary, answer binary")
 
 
 def per_row(found: DataFrame, answers: DataFrame) -> DataFrame:
