@@ -3,8 +3,8 @@
 1. Per document: the set of distinct k-word shingles (64-bit hashes of the
    words), its size, a 128-bit digest of the set, and its signatures.  Sets of
    sizes a and b with Jaccard >= p/q differ in at most (a+b)(q-p)/(q+p)
-   shingles, so when all shingles are dealt by hash into one part more than
-   that, some part is the same in both.  Sizes fall into bands; a set signs for
+   shingles, so when all shingles are dealt by hash into more parts than that,
+   some part is the same in both.  Sizes fall into bands; a set signs for
    its own band and, near the lower edge of it, for the band below, with the
    part count of the band.  No link can be missed, and a signature covers
    several shingles at once, so frequent words and passages do not make large
@@ -47,6 +47,7 @@ from fleetlake.llm.components import components
 TILE_SHINGLES = 400_000
 TILE_SETS = 1_000
 BAND = 1.5
+WEAK = 2            # shingles of a part that may be left out
 _SHORT = U64(0xA24BAED4963EE407)
 
 
@@ -78,25 +79,32 @@ def band_of(n: int) -> int:
     return int(math.log(n) / math.log(BAND) + 1e-9)
 
 
-def parts_of(band: int, num: int, den: int) -> int:
-    """Signature parts for pairs whose smaller set lies in ``band``."""
+def parts_of(band: int, num: int, den: int) -> tuple[int, int]:
+    """(parts, most parts that can differ) for pairs whose smaller set lies in ``band``."""
     top = math.ceil(BAND ** (band + 1)) + 1
-    return (top + top * den // num + 1) * (den - num) // (den + num) + 1
+    differ = (top + top * den // num + 1) * (den - num) // (den + num)
+    return differ + 1 + differ // 8, differ
 
 
 def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
     """Signatures of one set: of its band, and of each lower band that a smaller
-    partner could lie in."""
+    partner could lie in.
+
+    Empty and nearly empty parts are alike in many unrelated sets.  A set may leave
+    them out as long as more parts remain than can differ: then some remaining part
+    is equal in both sets of a link, and equal parts are left out by both or none."""
     n = len(s)
     out = []
     least = -(-n * num // den)
     for band in range(band_of(least), band_of(n) + 1):
-        parts = parts_of(band, num, den)
+        parts, differ = parts_of(band, num, den)
         part = (mix(s ^ P1) % U64(parts)).astype(np.int64)
         # order-free sums of finalised hashes: equal parts have equal sums
         lo = np.zeros(parts, np.uint64)
         np.add.at(lo, part, mix(s + U64(band)))
-        out.append(mix(lo ^ mix(np.arange(parts, dtype=np.uint64) + U64(band + 1 << 32))))
+        sig = mix(lo ^ mix(np.arange(parts, dtype=np.uint64) + U64(band + 1 << 32)))
+        full = np.bincount(part, minlength=parts) > WEAK
+        out.append(sig[full] if full.sum() > differ else sig)
     return np.unique(np.concatenate(out))
 
 
