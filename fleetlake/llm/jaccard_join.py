@@ -9,19 +9,22 @@
    part count of the band.  No link can be missed, and a signature covers
    several shingles at once, so frequent words and passages do not make large
    groups as single shingles would.
-2. Equal sets are one class (pre-aggregated before the shuffle); only class
-   representatives go on.
-3. Equal signatures tie a class to the least class of the signature (one row
-   per class and signature, never all pairs); the components of these ties are
-   clusters, and every link lies inside one cluster.
-4. A cluster is compared in tiles.  A cluster within the bounds is one tile; a
+2. Equal sets are one class (pre-aggregated before the shuffle; a task signs a set
+   once); only class representatives are compared.
+3. Equal signatures tie a document to the least document of the signature (one
+   row of two numbers each, streamed in order, never all pairs); the components
+   of these ties are clusters, and every link lies inside one cluster.
+4. Inside the clusters, size-banded tiles of bitmap signatures rule pairs out: what
+   shares a signature by chance or by a common passage falls apart here, and only
+   the components of the pairs that remain possible fetch their texts.
+5. Such a cluster is compared in tiles.  A cluster within the bounds is one tile; a
    larger one is split by narrow size bands and, within a band, by hash, and
    only blocks of the same or neighbouring bands meet.  In a tile, hashed
-   bitmaps bound each pair's overlap from above by bit counts, pairs that could
+   parity bitmaps bound each pair's overlap from above by bit counts, pairs that could
    reach the threshold are intersected exactly as sorted arrays, and linked
    sets are merged; a pair already in one component is not compared again.
    A tile returns a spanning forest, at most one row per set.
-5. Components of the forests' edges are the result.
+6. Components of the forests' edges are the result.
 
 Cases: null or wordless texts have an empty set, link with nothing and are
 their own component; a text with fewer than k words has one shingle, the whole
@@ -44,10 +47,13 @@ from fleetlake.llm.common import LOWER, P1, U64, cut, flat, gram_hashes, mix, ro
 from fleetlake.llm.components import components
 
 #: a tile holds at most about so many shingles and sets on each side
-TILE_SHINGLES = 400_000
-TILE_SETS = 1_000
+TILE_SHINGLES = 1_200_000
+TILE_SETS = 3_000
+MAP_BITS = 4096
+#: bits of the maps that stand for whole sets before their texts are fetched
+SKETCH_BITS = 2048
 BAND = 1.5
-WEAK = 2            # shingles of a part that may be left out
+WEAK = 2            # most shingles of a part that may be left out
 _SHORT = U64(0xA24BAED4963EE407)
 
 
@@ -103,41 +109,124 @@ def signatures(s: np.ndarray, num: int, den: int) -> np.ndarray:
         lo = np.zeros(parts, np.uint64)
         np.add.at(lo, part, mix(s + U64(band)))
         sig = mix(lo ^ mix(np.arange(parts, dtype=np.uint64) + U64(band + 1 << 32)))
-        full = np.bincount(part, minlength=parts) > WEAK
-        out.append(sig[full] if full.sum() > differ else sig)
+        held = np.bincount(part, minlength=parts)
+        for weak in range(WEAK, -2, -1):  # -1 leaves nothing out
+            if (held > weak).sum() > differ or weak < 0:
+                out.append(sig[held > weak])
+                break
     return np.unique(np.concatenate(out))
 
 
-def _sign(k: int, num: int, den: int):
+def parity_map(s: np.ndarray, bits: int) -> np.ndarray:
+    """One bit per hash slot: whether an odd number of the set's shingles falls in it.
+    Each slot where two maps differ stands for a shingle of one set alone."""
+    return np.packbits(np.bincount((s % U64(bits)).astype(np.int64), minlength=bits) & 1)
+
+
+def _measure(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = flat(batch.column("text"))
             for a, b in slices(offs, 1 << 20):
                 low = LOWER[data[offs[a]:offs[b]]]
                 vals, cuts = shingle_sets(low, offs[a:b + 1] - offs[a], k)
-                digests, sigs = [], []
-                ids = batch.column("id").slice(a, b - a)
-                for i, null in zip(range(b - a), ids.is_null().to_pylist(), strict=True):
-                    s = vals[cuts[i]:cuts[i + 1]]
-                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                    sigs.append(signatures(s, num, den).view(np.int64) if len(s) and not null else np.zeros(0, np.int64))
-                cut_at = np.concatenate(([0], np.cumsum([len(x) for x in sigs]))).astype(np.int32)
+                digests = [hashlib.blake2b(vals[x:y].tobytes(), digest_size=16).digest() for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids, batch.column("k2").slice(a, b - a), pa.array(np.diff(cuts).astype(np.int64)), pa.array(digests, pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(cut_at), pa.array(np.concatenate([np.zeros(0, np.int64), *sigs])))],
-                    ["id", "k2", "n", "digest", "sigs"])
+                    [batch.column("id").slice(a, b - a), batch.column("k2").slice(a, b - a), pa.array(np.diff(cuts).astype(np.int64)), pa.array(digests, pa.binary()),
+                     pa.array([parity_map(vals[x:y], SKETCH_BITS).tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
+                    ["id", "k2", "n", "digest", "map"])
     return run
 
 
-class _Forest:
-    def __init__(self, n: int):
-        self.up = np.arange(n)
+def _signature_rows(k: int, num: int, den: int):
+    """(sig, rep) rows; a text that a task has signed before brings no new rows but
+    ties its id to the first one's by a row of its digest."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            data, offs = flat(batch.column("text"))
+            for a, b in slices(offs, 1 << 20):
+                vals, cuts = shingle_sets(LOWER[data[offs[a]:offs[b]]], offs[a:b + 1] - offs[a], k)
+                ids, sigs, reps = batch.column("id").slice(a, b - a).to_numpy(), [], []
+                for i in np.flatnonzero(np.diff(cuts)).tolist():
+                    s = vals[cuts[i]:cuts[i + 1]]
+                    digest = hashlib.blake2b(s.tobytes(), digest_size=8).digest()
+                    if len(seen) > 1_000_000:
+                        seen.clear()
+                    own = np.frombuffer(digest, np.uint64)
+                    if digest not in seen:
+                        seen.add(digest)
+                        own = np.append(signatures(s, num, den), own)
+                    sigs.append(own)
+                    reps.append(np.full(len(own), ids[i]))
+                if sigs:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(reps))], ["sig", "rep"])
+    return run
 
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
+
+def _tie(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come ordered by signature and id: each id of a signature is tied to the
+    first.  Constant memory, whatever the size of a signature's group."""
+    last, first = None, None
+    for batch in batches:
+        sig, rep = batch.column("sig").to_numpy(), batch.column("rep").to_numpy()
+        if not len(sig):
+            continue
+        new = np.ones(len(sig), bool)
+        new[1:] = sig[1:] != sig[:-1]
+        new[0] = sig[0] != last
+        head = np.maximum.accumulate(np.where(new, np.arange(len(sig)), -1))
+        least = np.where(head >= 0, rep[head], first if first is not None else 0)
+        last, first = sig[-1], least[-1]
+        tied = least != rep
+        yield pa.RecordBatch.from_arrays([pa.array(rep[tied]), pa.array(least[tied])], ["u", "v"])
+
+
+def _could_link(i: int, maps: np.ndarray, size: np.ndarray, side: np.ndarray, comp: np.ndarray, num: int, den: int) -> np.ndarray:
+    """The sets after ``i``, in other components, whose overlap bound reaches the threshold."""
+    j = np.arange(i + 1, len(size))
+    j = j[comp[j] != comp[i]]
+    if side[i]:
+        j = j[side[j] != side[i]]
+    j = j[(size[j] * den >= size[i] * num) & (size[i] * den >= size[j] * num)]
+    apart = np.bitwise_count(maps[i] ^ maps[j]).sum(axis=1, dtype=np.int64)
+    bound = (size[i] + size[j] - apart) // 2
+    return j[bound * den >= (size[i] + size[j] - bound) * num]
+
+
+def possible_links(maps: np.ndarray, size: np.ndarray, side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Spanning forest of the pairs of a tile that the maps cannot rule out."""
+    comp, forest = np.arange(len(size)), []
+    for i in range(len(size) - 1):
+        for x in _could_link(i, maps, size, side, comp, num, den).tolist():
+            if comp[x] != comp[i]:
+                forest.append((i, x))
+                comp[comp == comp[x]] = comp[i]
+    return forest
+
+
+def _map_tiles(num: int, den: int):
+    names = ("cluster", "ta", "tb", "ha", "hb")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+
+        def done() -> pa.RecordBatch:
+            maps = np.stack([np.frombuffer(x[2], np.uint64) for x in held])
+            links = possible_links(maps, np.array([x[1] for x in held], np.int64), np.array([x[3] for x in held]), num, den)
+            return pa.RecordBatch.from_arrays([pa.array([held[a][0] for a, _ in links], pa.int64()), pa.array([held[b][0] for _, b in links], pa.int64())], ["u", "v"])
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in names), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in ("rep", "n", "map", "side")), strict=True)
+            for now, row in zip(keys, rows, strict=True):
+                if now != key:
+                    if len(held) > 1:
+                        yield done()
+                    key, held = now, []
+                held.append(row)
+        if len(held) > 1:
+            yield done()
+    return run
 
 
 def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
@@ -145,26 +234,12 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) ->
     need one set of side 1 and one of side 2."""
     n = len(sets)
     size = np.array([len(s) for s in sets], np.int64)
-    bits = 1 << max(8, min(15, int(2 * size.max()).bit_length()))
-    maps = np.zeros((n, bits), bool)
-    for i, s in enumerate(sets):
-        maps[i, (s % U64(bits)).astype(np.int64)] = True
-    maps = np.packbits(maps, axis=1).view(np.uint64)
+    bits = min(MAP_BITS, 1 << max(8, int(2 * size.max()).bit_length()))
+    maps = np.stack([parity_map(s, bits) for s in sets]).view(np.uint64)
     every, cuts = np.concatenate(sets), np.concatenate(([0], np.cumsum(size)))
     comp, forest = np.arange(n), []
     for i in range(n - 1):
-        j = np.arange(i + 1, n)
-        j = j[comp[j] != comp[i]]
-        if side[i]:
-            j = j[side[j] != side[i]]
-        j = j[(size[j] * den >= size[i] * num) & (size[i] * den >= size[j] * num)]
-        if not len(j):
-            continue
-        # a bit of one map that the other lacks stands for at least one shingle outside the overlap
-        only_i = np.bitwise_count(maps[i] & ~maps[j]).sum(axis=1, dtype=np.int64)
-        only_j = np.bitwise_count(maps[j] & ~maps[i]).sum(axis=1, dtype=np.int64)
-        bound = np.minimum(size[i] - only_i, size[j] - only_j)
-        j = j[bound * den >= (size[i] + size[j] - bound) * num]
+        j = _could_link(i, maps, size, side, comp, num, den)
         for at in range(0, len(j), 256):
             some = j[at:at + 256]
             some = some[comp[some] != comp[i]]
@@ -209,14 +284,14 @@ def _tiles(k: int, num: int, den: int):
     return run
 
 
-def _placed(members: DataFrame, num: int, den: int) -> DataFrame:
+def _placed(members: DataFrame, num: int, den: int, shingles: int, *carry: str) -> DataFrame:
     """(rep, cluster, tile key, side) rows: one per block that a set meets."""
     width = math.log(den / num)
     spread = members.withColumn("band", F.floor(F.log(F.col("n")) / F.lit(width) + F.lit(1e-9)).cast("int"))
     per = spread.groupBy("cluster", "band").agg(F.sum("n").alias("w"), F.count(F.lit(1)).alias("c"))
     whole = per.groupBy("cluster").agg(F.sum("w").alias("tw"), F.sum("c").alias("tc"))
-    small = (F.col("tw") <= TILE_SHINGLES) & (F.col("tc") <= TILE_SETS)
-    blocks = F.ceil(F.greatest(F.col("w") / TILE_SHINGLES, F.col("c") / TILE_SETS)).cast("int")
+    small = (F.col("tw") <= shingles) & (F.col("tc") <= TILE_SETS)
+    blocks = F.ceil(F.greatest(F.col("w") / shingles, F.col("c") / TILE_SETS)).cast("int")
     # block counts of the bands below, at and above: a handful of rows for each large cluster
     near = (per.join(whole.where(~small).select("cluster"), "cluster").select("cluster", "band", blocks.alias("s")))
     near = (near.select("cluster", F.col("band").alias("band"), F.lit("own").alias("k"), "s")
@@ -224,7 +299,7 @@ def _placed(members: DataFrame, num: int, den: int) -> DataFrame:
             .unionByName(near.select("cluster", (F.col("band") + 1).alias("band"), F.lit("down").alias("k"), "s"))
             .groupBy("cluster", "band").agg(*(F.coalesce(F.max(F.when(F.col("k") == k, F.col("s"))), F.lit(0)).alias(k) for k in ("own", "up", "down"))))
     one = spread.join(whole.where(small).select("cluster"), "cluster").select(
-        "rep", "k2", "cluster", F.lit(-1).alias("ta"), F.lit(-1).alias("tb"), F.lit(0).alias("ha"), F.lit(0).alias("hb"), F.lit(0).alias("side"))
+        "rep", "k2", *carry, "cluster", F.lit(-1).alias("ta"), F.lit(-1).alias("tb"), F.lit(0).alias("ha"), F.lit(0).alias("hb"), F.lit(0).alias("side"))
     big = spread.join(near.where("own > 0"), ["cluster", "band"]).withColumn("h", F.pmod(F.xxhash64("rep", "k2"), F.col("own")).cast("int"))
 
     def tile(ta, tb, ha, hb, side):
@@ -235,26 +310,30 @@ def _placed(members: DataFrame, num: int, den: int) -> DataFrame:
     up = F.when(F.col("up") > 0, F.transform(F.sequence(F.lit(0), F.col("up") - 1), lambda o: tile(b, b + 1, h, o, F.lit(1))))
     down = F.when(F.col("down") > 0, F.transform(F.sequence(F.lit(0), F.col("down") - 1), lambda o: tile(b - 1, b, o, h, F.lit(2))))
     none = F.array().cast("array<struct<ta:int,tb:int,ha:int,hb:int,side:int>>")
-    dealt = big.select("rep", "k2", "cluster", F.explode(F.concat(same, F.coalesce(up, none), F.coalesce(down, none))).alias("t")).select("rep", "k2", "cluster", "t.*")
+    dealt = big.select("rep", "k2", *carry, "cluster", F.explode(F.concat(same, F.coalesce(up, none), F.coalesce(down, none))).alias("t")).select("rep", "k2", *carry, "cluster", "t.*")
     return one.unionByName(dealt)
 
 
 def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) per row; links at Jaccard >= num/den."""
     keyed = row_key(docs, id_col, text_col)
-    signed = cut(keyed.select("id", "k2", "text").mapInArrow(_sign(k, num, den), "id long, k2 long, n long, digest binary, sigs array<long>"), "signed")
+    signed = cut(keyed.select("id", "k2", "text").mapInArrow(_measure(k), "id long, k2 long, n long, digest binary, map binary"), "signed")
     sets = signed.where("n > 0 AND id IS NOT NULL")
-    classes = cut(sets.groupBy("digest", "n").agg(F.min(F.struct("id", "k2", "sigs")).alias("m"))
-                  .select("digest", "n", F.col("m.id").alias("rep"), F.col("m.k2").alias("k2"), F.col("m.sigs").alias("sigs")), "classes")
-    tied = classes.select("rep", F.explode("sigs").alias("sig"))
-    least = tied.groupBy("sig").agg(F.min("rep").alias("v"), F.max("rep").alias("w")).where("v <> w").select("sig", "v")
-    ties = tied.join(least, "sig").select(F.col("rep").alias("u"), "v").where("u <> v").distinct()
-    cluster = components(ties)
-    members = cut(cluster.select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
-                  .join(classes.select("rep", "k2", "n"), "rep"), "members")
-    texts = keyed.where("id IS NOT NULL").select(F.col("id").alias("rep"), "k2", "text")
+    classes = cut(sets.groupBy("digest", "n").agg(F.min(F.struct("id", "k2", "map")).alias("m"))
+                  .select("digest", "n", F.col("m.id").alias("rep"), F.col("m.k2").alias("k2"), F.col("m.map").alias("map")), "classes")
+    tied = keyed.where("id IS NOT NULL").select("id", "text").mapInArrow(_signature_rows(k, num, den), "sig long, rep long")
+    ties = cut(tied.repartition("sig").sortWithinPartitions("sig", "rep").mapInArrow(_tie, "u long, v long").distinct(), "ties")
     order = ["cluster", "ta", "tb", "ha", "hb"]
-    tiles = (_placed(members, num, den).join(texts, ["rep", "k2"]).repartition(*order)
+
+    def members(edges: DataFrame, *carry: str) -> DataFrame:
+        # a class of equal sets goes on as its least id alone
+        found = components(edges).select(F.col("node").alias("rep"), F.col("component").alias("cluster"))
+        return cut(found.join(classes.select("rep", "k2", "n", *carry), "rep"), "members")
+
+    rough = _placed(members(ties, "map"), num, den, 1 << 62, "n", "map").repartition(*order).sortWithinPartitions(*order, "rep", "k2")
+    possible = cut(rough.select(*order, "rep", "n", "map", "side").mapInArrow(_map_tiles(num, den), "u long, v long").where("u <> v"), "possible")
+    texts = keyed.where("id IS NOT NULL").select(F.col("id").alias("rep"), "k2", "text")
+    tiles = (_placed(members(possible), num, den, TILE_SHINGLES).join(texts, ["rep", "k2"]).repartition(*order)
              .sortWithinPartitions(*order, "rep", "k2").select(*order, "rep", "k2", "side", "text"))
     links = tiles.mapInArrow(_tiles(k, num, den), "u long, v long")
     # copies of one set, and rows that share an id, hang on the class's least id
