@@ -91,12 +91,14 @@ def _as_dt(v) -> datetime:
 def capture_time_local(ta="ta", zone: str = LOCAL_ZONE) -> Column:
     """Capture-time text (UTC) -> local wall clock.
 
-    ``Z``, ``+00:00`` and zone-less text are all read as UTC instants (the
-    session zone is pinned to UTC); malformed text gives NULL instead of failing
-    the job.  The instant is then rendered in ``zone`` as ``TIMESTAMP_NTZ``.
+    ``Z``, ``+00:00`` and zone-less text are all read as UTC instants, whatever
+    the session zone; malformed text gives NULL instead of failing the job.  The
+    instant is then rendered in ``zone`` as ``TIMESTAMP_NTZ``.
     """
-    instant = F.try_to_timestamp(_c(ta))
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), instant.cast("timestamp_ntz"))
+    text = F.trim(_c(ta))
+    zoned = F.when(text.rlike(r"(Z|[+-][0-9]{2}:?[0-9]{2})$"), text).otherwise(F.concat(text, F.lit("Z")))
+    instant = F.try_to_timestamp(zoned)
+    return F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
 
 
 @dataclass(frozen=True)

@@ -9,9 +9,9 @@ MIN_PAYLOAD = 3000  # parameter; the original threshold value is not published
 
 
 def validate_payloads(payloads: DataFrame, min_length: int = MIN_PAYLOAD, body: str = "body") -> DataFrame:
-    """Flag each payload OK when its length reaches the minimum."""
-    size = F.length(body).cast("bigint")
-    return payloads.withColumn("payload_len", size).withColumn("payload_ok", size >= F.lit(min_length))
+    """Flag each payload OK when it is larger, in UTF-8 bytes, than the minimum."""
+    size = F.octet_length(body).cast("bigint")
+    return payloads.withColumn("payload_len", size).withColumn("payload_ok", size > F.lit(min_length))
 
 
 def ok_payloads(flagged: DataFrame) -> DataFrame:

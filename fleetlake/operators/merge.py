@@ -28,6 +28,7 @@ def latest_per_key(df: DataFrame, keys, order_cols) -> DataFrame:
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*[F.col(c) for c in order_cols])
+    # the whole row last: equal order values still give one defined row
+    order = F.struct(*[F.col(c) for c in [*order_cols, *rest]])
     picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_row"))
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)

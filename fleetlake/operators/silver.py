@@ -28,16 +28,20 @@ def explode_vehicles(lines: DataFrame) -> DataFrame:
 
 def reference_date(recv_date: Column | str = "recv_date", recv_hour: Column | str = "recv_hour",
                    hr: Column | str = "hr") -> Column:
-    """Local date a snapshot belongs to.
+    """Local date a snapshot belongs to: the one that brings ``hr`` nearest to
+    the reception hour.
 
     A document received in hour 00 that carries ``hr`` 23:xx was taken the day
-    before; the original job stamped it with the reception date instead.
+    before; one received in hour 23 with ``hr`` 00:xx comes from a clock that is
+    ahead and belongs to the next day.  A clock that is a little ahead within
+    the day changes nothing.
     """
     d = F.col(recv_date) if isinstance(recv_date, str) else recv_date
     h = F.col(recv_hour) if isinstance(recv_hour, str) else recv_hour
-    snap_hour = hour_id(hr)
-    prev_day = F.date_format(F.date_sub(F.to_date(d, "yyyyMMdd"), 1), "yyyyMMdd")
-    return F.when(snap_hour > h, prev_day).otherwise(d)
+    ahead = hour_id(hr).cast("int") - h.cast("int")
+    day = F.to_date(d, "yyyyMMdd")
+    return (F.when(ahead > 12, F.date_format(F.date_sub(day, 1), "yyyyMMdd"))
+            .when(ahead < -12, F.date_format(F.date_add(day, 1), "yyyyMMdd")).otherwise(d))
 
 
 def flatten_positions(bronze: DataFrame, data_ref: str | Column | None = None,

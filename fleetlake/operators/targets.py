@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.operators.joins import sized_broadcast
 
 RESULT_COLUMNS = ("data_ref", "hora_id_ref", "id_linha", "sentido_linha", "let_cod_linha",
                   "let_destino", "let_origem", "meta_qtde_onibus", "avg_qtde_onibus")
@@ -43,8 +42,7 @@ def processed_hours(avg: DataFrame) -> DataFrame:
     return avg.select("data_ref", "hora_id_ref").distinct()
 
 
-def target_check(meta: DataFrame, avg: DataFrame, hours: DataFrame | None = None,
-                 *, broadcast_max_rows: int | None = None) -> DataFrame:
+def target_check(meta: DataFrame, avg: DataFrame, hours: DataFrame | None = None) -> DataFrame:
     """J1 for any number of hours (backfill).
 
     J1's condition has no date; it is only right for a single hour.  Here the
@@ -53,8 +51,8 @@ def target_check(meta: DataFrame, avg: DataFrame, hours: DataFrame | None = None
     key (date, hour, line).
     """
     hours = processed_hours(avg) if hours is None else hours
-    dim = sized_broadcast(meta) if broadcast_max_rows is None else sized_broadcast(meta, broadcast_max_rows)
-    grid = hours.join(dim, "hora_id_ref", "inner")
+    # Spark picks the join from sizes known at run time; no job runs here
+    grid = hours.join(meta, "hora_id_ref", "inner")
     means = _avg_side(avg)
     cond = ((grid["data_ref"] == means["avg_data_ref"]) & (grid["hora_id_ref"] == means["avg_hora_id_ref"])
             & (grid["id_linha"] == means["avg_id_linha"]))

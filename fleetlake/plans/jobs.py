@@ -127,7 +127,9 @@ def target_job(spark: SparkSession, gold_root: str, meta: DataFrame,
     whole, so a line that moved from one list to the other leaves no stale row
     (G6), and an hour with no qualifying line ends up empty (G9)."""
     avg = read_gold(spark, gold_root, "media_onibus_por_linha", hours_predicate(hours))
-    checked = target_check(meta, avg).persist(StorageLevel.MEMORY_AND_DISK)
+    # the asked hours drive the check: an hour without means gives every target line with mean 0
+    asked = None if hours is None else spark.createDataFrame(hours, "data_ref string, hora_id_ref string")
+    checked = target_check(meta, avg, asked).persist(StorageLevel.MEMORY_AND_DISK)
     outs = target_outputs(checked)
     try:
         processed = hours if hours is not None else [
@@ -142,6 +144,6 @@ def target_job(spark: SparkSession, gold_root: str, meta: DataFrame,
         run_concurrently({name: writer(name, df) for name, df in outs.items()})
     finally:
         checked.unpersist()
-    if hours:
-        mark_done(spark, gold_root, "targets", hours)
+    if processed:
+        mark_done(spark, gold_root, "targets", processed)
     return outs

@@ -170,10 +170,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT data_ref, hora_ref, CAST(NULL AS BIGINT) AS id_linha, sentido_linha, let_cod_linha, let_destino,
                    let_origem, qtde_onibus, 'id_linha' AS null_keys
             FROM a2 WHERE substr(hora_ref, 5, 1) = '5'"""),
-        "payload_ok": "SELECT page_id AS payload_id, url AS name, CAST(length(html) AS BIGINT) AS payload_len "
-                      "FROM pages WHERE length(html) >= 3000",
-        "payload_nok": "SELECT page_id AS payload_id, url AS name, CAST(length(html) AS BIGINT) AS payload_len "
-                       "FROM pages WHERE length(html) < 3000 OR html IS NULL",
+        "payload_ok": "SELECT page_id AS payload_id, url AS name, CAST(octet_length(encode(html)) AS BIGINT) AS payload_len "
+                      "FROM pages WHERE octet_length(encode(html)) > 3000",
+        "payload_nok": "SELECT page_id AS payload_id, url AS name, CAST(octet_length(encode(html)) AS BIGINT) AS payload_len "
+                       "FROM pages WHERE octet_length(encode(html)) <= 3000 OR html IS NULL",
         "panel_below_total": _q(f"""
             SELECT max({_TS_HOUR}) AS data_hora, arg_max(qtde_linhas, {_TS_HOUR}) AS quantidade
             FROM below_total WHERE qtde_linhas IS NOT NULL"""),

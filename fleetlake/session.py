@@ -79,6 +79,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _looks_like_context_subdir(current) else current
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="fleetlake-ckpt-")
     sc.setCheckpointDir(root)
     return root

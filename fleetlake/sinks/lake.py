@@ -117,7 +117,9 @@ def upsert_table(spark: SparkSession, stage: DataFrame, root: str, table: str, *
     hours = F.concat(F.col("data_ref"), F.col("hora_id_ref")).isin(touched)
     try:
         current = read_gold(spark, root, table, hours, keep_hour_column=True)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # anything else would lose the table's rows
+            raise
         current = None
     merged = staged if current is None else upsert_frames(current.select(*staged.columns), staged, t.keys)
     checkpoint_root(spark)

@@ -40,23 +40,22 @@ def start_recompute(spark: SparkSession, silver_path: str, gold_root: str, check
 
 
 def closed_hours(spark: SparkSession, gold_root: str, newest_recv: str, lateness_hours: int,
-                 horizon_hours: int = 48, earliest: str | None = None) -> list[tuple[str, str]]:
+                 horizon_hours: int | None = None, earliest: str | None = None) -> list[tuple[str, str]]:
     """Event hours that are final and not yet target-checked (V2/V3).
 
     An event hour ``h`` is closed once a document received in hour
     ``h + 1 + lateness`` or later has landed; ``newest_recv`` (``yyyyMMddHH``)
     is the newest reception hour seen, taken from the micro-batch itself.
-    Candidates are the hours with means from the earliest of: ``earliest``
-    (``yyyyMMddHH``; the first event hour the batch touched, or the hour just
-    before its oldest reception hour, whichever is older) and ``horizon_hours``
-    before the limit; hours already checked come from the completion markers.
-    Both reads are restricted on partition columns, so the work per trigger
-    follows what the batch covers, not the size of the table.
+    Candidates are all hours with means up to the limit that no completion marker
+    names, however old: a gap in the input never hides an hour.  A caller that
+    knows its backlog may bound the look-back by ``horizon_hours`` before the
+    limit (``earliest``, ``yyyyMMddHH``, moves that bound further back).  Both
+    reads touch partition columns only.
     """
     from datetime import datetime, timedelta
 
     limit = datetime.strptime(newest_recv, "%Y%m%d%H") - timedelta(hours=1 + lateness_hours)
-    first = limit - timedelta(hours=horizon_hours)
+    first = datetime(1970, 1, 1) if horizon_hours is None else limit - timedelta(hours=horizon_hours)
     if earliest:
         first = min(first, datetime.strptime(earliest, "%Y%m%d%H"))
     lo, hi = first.strftime("%Y%m%d%H"), limit.strftime("%Y%m%d%H")
@@ -76,7 +75,7 @@ def closed_hours(spark: SparkSession, gold_root: str, newest_recv: str, lateness
 
 
 def start_pipeline(spark: SparkSession, bronze_root: str, lake_root: str, meta: DataFrame, checkpoint: str, *,
-                   lateness_hours: int = 1, horizon_hours: int = 48, max_files_per_trigger: int | None = None,
+                   lateness_hours: int = 1, horizon_hours: int | None = None, max_files_per_trigger: int | None = None,
                    available_now: bool = True, processing_time: str | None = None):
     """V1-V3 as one stream over the bronze landing.
 

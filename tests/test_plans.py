@@ -36,17 +36,11 @@ def test_snapshot_aggregate_combines_map_side(spark):
     assert p.index("partial_max") > p.index("Exchange")   # partial step sits below the shuffle
 
 
-def test_target_table_is_broadcast_after_size_check(spark):
-    a3 = stats.hourly_mean_per_line(stats.snapshot_per_line(fixtures.load_silver(spark, SF)))
-    p = plan(targets.target_check(fixtures.load_target(spark, SF), a3))
-    assert "BroadcastHashJoin" in p
-
-
-def test_target_table_over_bound_is_not_forced_to_broadcast(spark):
+def test_target_join_is_left_to_spark(spark):
     a3 = stats.hourly_mean_per_line(stats.snapshot_per_line(fixtures.load_silver(spark, SF)))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(targets.target_check(fixtures.load_target(spark, SF), a3, broadcast_max_rows=10))
+        p = plan(targets.target_check(fixtures.load_target(spark, SF), a3))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in p and "SortMergeJoin" in p

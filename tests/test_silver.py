@@ -52,8 +52,7 @@ def test_capture_time_independent_of_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     ts_utc = flatten_positions(d).collect()[0].timestamp_pos
     assert ts_utc == dt.datetime(2024, 9, 19, 20, 4)
-    # the parse is zone-aware; only the ntz cast reads the session zone, so pinning UTC matters
-    assert ts_sp is not None
+    assert ts_sp == ts_utc
 
 
 def test_latitude_comes_from_py(spark):
@@ -103,3 +102,10 @@ def test_corrupt_documents_are_kept_aside(spark, tmp_root):
     rows = df.collect()
     assert len(rows) == 2
     assert sum(1 for r in rows if r["_corrupt_record"] is not None) == 1
+
+
+def test_clock_slightly_ahead_keeps_the_day(spark):
+    d = docs(spark, [Row(hr="11:00", l=[line(1, [veh(1, "2024-01-15T13:59:00Z")])], recv_date="20240115", recv_hour="10"),
+                     Row(hr="00:00", l=[line(1, [veh(2, "2024-01-16T02:59:00Z")])], recv_date="20240115", recv_hour="23")])
+    got = {r.cod_onibus: r.data_ref for r in flatten_positions(d).collect()}
+    assert got == {1: "20240115", 2: "20240116"}

@@ -166,3 +166,10 @@ def test_stats_job_upsert_mode_equals_overwrite(spark, tmp_root):
     for t in ("total_onibus_por_linha", "media_onibus_geral"):
         cols = TABLES[t].columns
         assert rows(read_gold(spark, f"{tmp_root}/a", t), *cols) == rows(read_gold(spark, f"{tmp_root}/b", t), *cols)
+
+
+def test_payload_size_is_bytes_and_strictly_larger(spark):
+    from fleetlake.operators.ingest import validate_payloads
+    df = spark.createDataFrame([(1, "é" * 1500), (2, "é" * 1501), (3, None)], "payload_id long, body string")
+    got = {r.payload_id: (r.payload_len, r.payload_ok) for r in validate_payloads(df).collect()}
+    assert got == {1: (3000, False), 2: (3002, True), 3: (None, None)}

@@ -27,3 +27,8 @@ def test_closed_hours_limit_horizon_and_markers(spark, tmp_root):
 
 def test_closed_hours_without_means_is_empty(spark, tmp_root):
     assert closed_hours(spark, tmp_root, "2024011501", 1) == []
+
+
+def test_closed_hours_finds_hours_before_a_gap(spark, tmp_root):
+    _means(spark, tmp_root, [("20240110", "09"), ("20240110", "10"), ("20240113", "10")])
+    assert closed_hours(spark, tmp_root, "2024011315", 1) == [("20240110", "09"), ("20240110", "10"), ("20240113", "10")]

@@ -65,3 +65,16 @@ def test_lines_without_bus(spark):
     a = means(spark, [("20240115", "10", 1, 6)])
     out = targets.lines_without_bus(targets.target_check(m, a)).collect()
     assert [(r.data_ref, r.qtde_linhas) for r in out] == [("20240115", 1)]
+
+
+def test_asked_hour_without_means_lists_every_target_line(spark, tmp_root):
+    from fleetlake.plans.jobs import target_job
+    from fleetlake.schemas import MEDIA_POR_LINHA
+    from fleetlake.sinks.lake import write_hours
+    from fleetlake.sources.fixtures import load_target
+    write_hours(spark.createDataFrame([("20240110", "11", 1, 1, "1-10", "D", "O", 3)], MEDIA_POR_LINHA), f"{tmp_root}/media_onibus_por_linha")
+    meta = load_target(spark, "/root/testdata/sf0.001")
+    want = meta.where("hora_id_ref = '10' AND meta_qtde_onibus > 0").count()
+    target_job(spark, tmp_root, meta, [("20240110", "10"), ("20240110", "11")])
+    below = spark.read.parquet(f"{tmp_root}/linhas_abaixo_meta").where("hora_id_ref = '10'")
+    assert want > 0 and below.count() == want
