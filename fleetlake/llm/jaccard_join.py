@@ -333,7 +333,8 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, id_
     rough = _placed(members(ties, "map"), num, den, 1 << 62, "n", "map").repartition(*order).sortWithinPartitions(*order, "rep", "k2")
     possible = cut(rough.select(*order, "rep", "n", "map", "side").mapInArrow(_map_tiles(num, den), "u long, v long").where("u <> v"), "possible")
     texts = keyed.where("id IS NOT NULL").select(F.col("id").alias("rep"), "k2", "text")
-    tiles = (_placed(members(possible), num, den, TILE_SHINGLES).join(texts, ["rep", "k2"]).repartition(*order)
+    # the placed sets grow with the corpus: never a broadcast side, at any size
+    tiles = (_placed(members(possible), num, den, TILE_SHINGLES).hint("merge").join(texts, ["rep", "k2"]).repartition(*order)
              .sortWithinPartitions(*order, "rep", "k2").select(*order, "rep", "k2", "side", "text"))
     links = tiles.mapInArrow(_tiles(k, num, den), "u long, v long")
     # copies of one set, and rows that share an id, hang on the class's least id
