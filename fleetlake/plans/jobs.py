@@ -19,6 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlake.operators.quality import assert_keys_valid
 from fleetlake.operators.silver import flatten_positions
 from fleetlake.operators.stats import (hourly_mean_network, hourly_mean_per_line, network_per_snapshot,
                                        snapshot_per_line, total_network, total_per_line)
@@ -26,7 +27,7 @@ from fleetlake.operators.targets import target_check, target_outputs
 from fleetlake.schemas import HOUR_PARTITIONS, TABLES
 from fleetlake.sinks.lake import clear_hours, mark_done, upsert_table, write_hours
 from fleetlake.sources.bronze import read_bronze
-from fleetlake.sources.lake import read_gold, read_silver
+from fleetlake.sources.lake import read_gold, read_silver, with_hour_column
 
 
 def hours_predicate(hours: list[tuple[str, str]] | None, date_col="data_ref", hour_col="hora_id_ref") -> Column | None:
@@ -92,7 +93,11 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_path: str,
 
 def stats_job(spark: SparkSession, silver_path: str, gold_root: str,
               hours: list[tuple[str, str]] | None = None, *, upsert: bool = False) -> "JobRun":
-    """Silver -> total/mean per line and network for the given hours."""
+    """Silver -> total/mean per line and network for the given hours.
+
+    Duplicate or NULL keys fail the job before any table changes (G5); a listed
+    hour without silver rows ends up empty in all four tables (G9).
+    """
     silver = read_silver(spark, silver_path, hours_predicate(hours))
     # Input row count collected alongside the first action, no extra job
     seen = Observation("stats_input")
@@ -106,12 +111,18 @@ def stats_job(spark: SparkSession, silver_path: str, gold_root: str,
         "media_onibus_geral": hourly_mean_network(a4),
     }
     def writer(name, df):
-        if upsert:
-            return lambda: upsert_table(spark, df, gold_root, name)
-        return lambda: write_hours(df, f"{gold_root.rstrip('/')}/{name}", layout="hash",
-                                   hours_hint=len(hours) if hours else None)
+        path = f"{gold_root.rstrip('/')}/{name}"
+
+        def replace():
+            write_hours(df, path, layout="hash", hours_hint=len(hours) if hours else None)
+            clear_hours(spark, path, df, hours or [], with_hour_column(TABLES[name].schema))
+        return (lambda: upsert_table(spark, df, gold_root, name)) if upsert else replace
 
     try:
+        if not upsert:  # the upsert checks its own stage
+            # Before any table is written; the network tables group by their keys
+            run_concurrently({name: lambda name=name: assert_keys_valid(out[name], TABLES[name].keys)
+                              for name in ("total_onibus_por_linha", "media_onibus_por_linha")})
         run_concurrently({name: writer(name, df) for name, df in out.items()})
     finally:
         a4.unpersist()

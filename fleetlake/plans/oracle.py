@@ -197,6 +197,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_shift(_TS_MIN, 3)} AS data, let_cod_linha AS linha, let_origem AS origem,
                    let_destino AS destino, CAST(sum(qtde_onibus) AS BIGINT) AS total_onibus
             FROM a2 WHERE {_range(_TS_MIN, 3)} GROUP BY ALL ORDER BY data DESC"""),
+        "panel_line_table_by_origin": _q(f"""
+            SELECT {_TS_MIN} AS data, let_cod_linha AS linha, let_origem AS origem,
+                   let_destino AS destino, CAST(sum(qtde_onibus) AS BIGINT) AS total_onibus
+            FROM a2 WHERE {_range(_TS_MIN, 0)} GROUP BY ALL ORDER BY origem"""),
         "panel_mean_line_last25": _q(f"""
             SELECT {_shift(_TS_HOUR00, 3)} AS time, let_cod_linha AS linha, CAST(sum(qtde_onibus) AS BIGINT) AS total_onibus
             FROM a3 WHERE {_range(_TS_HOUR00, 3)} GROUP BY ALL ORDER BY time DESC, linha LIMIT 25"""),

@@ -91,8 +91,9 @@ def mean_network_last(mean_network: DataFrame, time_from, time_to, shift_hours:
 
 
 def line_table(total_line: DataFrame, time_from, time_to, shift_hours: int = NEW_SHIFT,
-               sort_desc: bool = True) -> DataFrame:
-    """Q7 (+A9, T8): buses per (snapshot, line, origin, destination).
+               sort_desc: bool = True, sort_by: str = "data") -> DataFrame:
+    """Q7 (+A9, T8): buses per (snapshot, line, origin, destination), sorted by
+    any output column; the other columns break ties.
 
     The original pins the date text to one day (G11); the row's own date is used.
     """
@@ -101,8 +102,10 @@ def line_table(total_line: DataFrame, time_from, time_to, shift_hours: int = NEW
                .groupBy(shifted(ts, shift_hours).alias("data"), F.col("let_cod_linha").alias("linha"),
                         F.col("let_origem").alias("origem"), F.col("let_destino").alias("destino"))
                .agg(F.sum("qtde_onibus").alias("total_onibus")))
-    order = F.col("data").desc_nulls_last() if sort_desc else F.col("data").asc_nulls_last()
-    return grouped.orderBy(order, "linha", "origem", "destino")
+    if sort_by not in grouped.columns:
+        raise ValueError(f"sort_by must be one of {grouped.columns}")
+    order = F.col(sort_by).desc_nulls_last() if sort_desc else F.col(sort_by).asc_nulls_last()
+    return grouped.orderBy(order, *(c for c in ("linha", "origem", "destino", "data") if c != sort_by))
 
 
 def line_table_grand_total(table: DataFrame) -> DataFrame:

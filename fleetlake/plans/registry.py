@@ -318,6 +318,11 @@ def q_panel_line_table(spark, sf):
     return panels.line_table(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
 
 
+def q_panel_line_table_by_origin(spark, sf):
+    return panels.line_table(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.OLD_SHIFT,
+                             sort_desc=False, sort_by="origem")
+
+
 def q_panel_line_table_total(spark, sf):
     table = panels.line_table(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
     return panels.line_table_grand_total(table)
@@ -435,6 +440,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "panel_line_last25": q_panel_line_last25,
         "panel_mean_network_last": q_panel_mean_network_last,
         "panel_line_table": q_panel_line_table,
+        "panel_line_table_by_origin": q_panel_line_table_by_origin,
         "panel_line_table_total": q_panel_line_table_total,
         "panel_mean_line_last25": q_panel_mean_line_last25,
         "panel_network_series_local": q_panel_network_series_local,

@@ -94,6 +94,31 @@ def test_recompute_one_hour_leaves_others(spark, tmp_root):
     assert spark.read.parquet(f"{gold}/_job_runs").where(F.col("job") == "stats").count() == 1
 
 
+def test_stats_rerun_clears_an_emptied_hour(spark, tmp_root):
+    silver_path, gold = f"{tmp_root}/silver", f"{tmp_root}/gold"
+    s = load_silver(spark, SF, exact_count=True)
+    hours = [(r[0], r[1]) for r in s.select("data_ref", "hora_id_ref").distinct().orderBy("data_ref", "hora_id_ref").limit(3).collect()]
+    write_hours(s, silver_path)
+    stats_job(spark, silver_path, gold, hours)
+    d, h = hours[1]
+    s.limit(0).drop("data_ref", "hora_id_ref").write.mode("overwrite").parquet(f"{silver_path}/data_ref={d}/hora_id_ref={h}")
+    stats_job(spark, silver_path, gold, hours)
+    for t in ("total_onibus_por_linha", "total_onibus_geral", "media_onibus_por_linha", "media_onibus_geral"):
+        left = read_gold(spark, gold, t, keep_hour_column=True).select("data_ref", "hora_id_ref").distinct().collect()
+        assert sorted((r[0], r[1]) for r in left) == [hours[0], hours[2]]
+
+
+def test_stats_job_fails_on_a_label_change_before_writing(spark, tmp_root):
+    silver_path, gold = f"{tmp_root}/silver", f"{tmp_root}/gold"
+    s = load_silver(spark, SF, exact_count=True)
+    one = s.orderBy("cod_onibus").limit(1)
+    write_hours(one.unionByName(one.withColumn("let_cod_linha", F.lit("renamed"))), silver_path)
+    with pytest.raises(KeyViolation):
+        stats_job(spark, silver_path, gold)
+    from fleetlake.sinks.lake import table_exists
+    assert not table_exists(spark, f"{gold}/total_onibus_geral")
+
+
 def test_jdbc_stage_append_and_partitioned_read(spark):
     url = f"jdbc:derby:memory:t{uuid.uuid4().hex[:8]};create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
