@@ -8,18 +8,21 @@ block.  Items are split into shards of bounded bytes; the shards that fit
 ``BROADCAST_BYTES`` together travel to the tasks in one pass over the corpus,
 and a larger benchmark takes more passes.
 
-Query: every document is cut into overlapping passages, twice as long as the
-shard's longest item, one item length apart, so that an item lies whole in some
-passage.  Block-max WAND, for many passages at once: the sum of a passage's term
-maxima must reach the threshold, then the sum of its block maxima, and only the
-blocks that remain are scored item by item.  All items at or above the threshold
-are retrieved, no top-k.
+Query: every document is cut into overlapping passages, three times as long as
+the shard's longest item, one item length apart, so that a copy spread over up to
+twice its item's words lies whole in some passage.  Block-max WAND, for many
+passages at once: the sum of a passage's term maxima must reach the threshold,
+then the sum of its block maxima, and only the blocks that remain are scored item
+by item.  All items at or above the threshold are retrieved, no top-k.  Each item
+has its own threshold, the least score that 0.8 of its shingles leave it
+(``_floor``), so that retrieval loses no hit; postings are divided by it.
 
 Verification: the retrieved item's five-word shingles are looked up in the
-passage.  A hit needs 0.8 of the whole item's shingles and of the question's,
-and half of the answer's; the answer is the last sentence, or the last third of
-an item of one sentence, and one of fewer than ten words is compared by single
-words (a mark stuck to its last word must not hide it).  Words are runs of non-space bytes, A-Z lower-cased.
+passage.  A hit needs 0.8 of the whole item's shingles and nothing else; the
+shares of the question's and the answer's are reported with it.  The answer is
+the last sentence, or the last third of an item of one sentence, and one of fewer
+than ten words is compared by single words (a mark stuck to its last word must
+not hide it).  Words are runs of non-space bytes, A-Z lower-cased.
 
 Cases: null or wordless items are not indexed; null texts have no passages; an
 item or part of fewer than five words is one shingle, its whole sequence;
@@ -44,7 +47,7 @@ K1, B = 1.2, 0.75
 BLOCK_ITEMS = 16
 SHARD_ITEMS = 512
 BROADCAST_BYTES = 64 << 20
-RETRIEVE = 0.5
+PASSAGE = 3
 SHINGLE = 5
 HITS = "doc_id long, item_id long, bm25 double, overlap double, question_overlap double, answer_overlap double"
 
@@ -65,6 +68,24 @@ def _words(text: str) -> np.ndarray:
     return word_hashes(raw, starts, ends)
 
 
+def _floor(words: np.ndarray, weight: np.ndarray) -> float:
+    """The least part of an item's score that a text with 0.8 of its shingles has.
+    ``weight``: of the distinct words in order, 1 in all.
+
+    A word can be missing only if all shingles that hold it are, and each missing
+    shingle counts for at most ``k`` words; so what the missing words weigh is at
+    most what a fractional knapsack of ``k`` times the spare shingles takes."""
+    k = min(len(words), SHINGLE)
+    _, term = np.unique(words, return_inverse=True)
+    sets, gram = np.unique(gram_hashes(words, k), return_inverse=True)
+    at = np.arange(len(gram))[:, None] + np.arange(k)
+    held = np.unique(term[at] * len(sets) + gram[:, None])
+    cost = np.bincount(held // len(sets), minlength=len(weight))
+    order = np.argsort(-weight / cost, kind="stable")
+    lost = np.interp(k * (len(sets) // 5), np.append(0, np.cumsum(cost[order])), np.append(0, np.cumsum(weight[order])))
+    return max(1 - lost, float(weight.min())) * (1 - 1e-4)  # postings are of single precision
+
+
 class Shard:
     """Inverted index of at most ``SHARD_ITEMS`` items."""
 
@@ -78,10 +99,13 @@ class Shard:
         """``items``: (id, words, question words, answer words), ordered by length."""
         vocab = np.unique(np.concatenate([w for _, w, _, _ in items]))
         impact = np.zeros((len(items), len(vocab)), np.float32)
+        floor = np.zeros(len(items))
         for i, (_, w, _, _) in enumerate(items):
             term, tf = np.unique(w, return_counts=True)
             weight = idf_of(term) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / average))
-            impact[i, np.searchsorted(vocab, term)] = weight / weight.sum()
+            weight = weight / weight.sum()
+            floor[i] = _floor(w, weight)
+            impact[i, np.searchsorted(vocab, term)] = weight / floor[i]
         at = np.arange(0, len(items) + BLOCK_ITEMS, BLOCK_ITEMS).clip(max=len(items))
         at = at[: np.searchsorted(at, len(items)) + 1]
         doc, term = np.nonzero(impact)
@@ -95,7 +119,7 @@ class Shard:
             shingles[name + "_n"] = np.array(size)
         out = io.BytesIO()
         np.savez(out, ids=np.array([-1 if x[0] is None else x[0] for x in items], np.int64), no_id=np.array([x[0] is None for x in items]),
-                 vocab=vocab, length=max(len(x[1]) for x in items), block_at=at,
+                 vocab=vocab, floor=floor, length=max(len(x[1]) for x in items), block_at=at,
                  post_at=np.searchsorted(term[order], np.arange(len(vocab) + 1)), post_item=doc[order], post_weight=impact[doc, term][order],
                  term_max=impact.max(axis=0), block_max=np.maximum.reduceat(impact, at[:-1], axis=0).T.copy(), **shingles)
         return out.getvalue()
@@ -107,15 +131,15 @@ class Shard:
         held = np.flatnonzero(self.vocab[near] == words)
         term = near[held]
         n = np.diff(doc_first)
-        count = np.maximum(1, -(-n // self.length) - 1) * (n > 0)
+        count = np.maximum(1, -(-n // self.length) - PASSAGE + 1) * (n > 0)
         row = np.repeat(np.arange(len(n)), count)
         start = doc_first[:-1][row] + (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * self.length
-        end = np.minimum(start + 2 * self.length, doc_first[1:][row])
+        end = np.minimum(start + PASSAGE * self.length, doc_first[1:][row])
         lo, hi = np.searchsorted(held, start), np.searchsorted(held, end)
         size = hi - lo
         # pivot test: repeated words only raise this sum, so it stays an upper bound
         heavy = np.concatenate(([0], np.cumsum(self.term_max[term].astype(np.float64))))
-        keep = np.flatnonzero(heavy[hi] - heavy[lo] >= RETRIEVE - 1e-6)
+        keep = np.flatnonzero(heavy[hi] - heavy[lo] >= 1)
         row, start, end, lo, size = row[keep], start[keep], end[keep], lo[keep], size[keep]
         none = np.zeros(0, np.int64)
         if not len(keep):
@@ -125,8 +149,8 @@ class Shard:
         pair = np.unique(passage * len(self.vocab) + took)  # each distinct word once
         passage, took = pair // len(self.vocab), pair % len(self.vocab)
         at = np.searchsorted(passage, np.arange(len(keep)))
-        bound = np.add.reduceat(self.block_max[took], at, axis=0)
-        which, block = np.nonzero(bound >= RETRIEVE - 1e-4)
+        bound = np.add.reduceat(self.block_max[took], at, axis=0, dtype=np.float64)
+        which, block = np.nonzero(bound >= 1)
         if not len(which):
             return none, none, none, none, np.zeros(0)
         # exact scores of the surviving blocks from the postings
@@ -142,8 +166,8 @@ class Shard:
         live = np.zeros((len(alive), len(self.vocab_blocks)), bool)
         live[slot[which], block] = True
         total[~np.repeat(live, np.diff(self.block_at), axis=1)] = 0
-        p, item = np.nonzero(total >= RETRIEVE - 1e-6)
-        return start[alive[p]], end[alive[p]], row[alive[p]], item, total[p, item]
+        p, item = np.nonzero(total >= 1)
+        return start[alive[p]], end[alive[p]], row[alive[p]], item, total[p, item] * self.floor[item]
 
 
 def _shingle(name: str, n: int) -> int:
@@ -185,8 +209,9 @@ class Matcher:
                 for s, e, r, item, total in zip(*(x.tolist() for x in shard.retrieve(words, first)), strict=True):
                     if (s, e) != last:
                         last, grams = (s, e), {}
-                    got = tuple(_overlap(shard, x, item, words[s:e], grams) for x in ("whole", "question", "answer"))
-                    if got[0] >= 0.8 and got[1] >= 0.8 and got[2] >= 0.5:
+                    whole = _overlap(shard, "whole", item, words[s:e], grams)
+                    if whole >= 0.8:
+                        got = (whole, *(_overlap(shard, x, item, words[s:e], grams) for x in ("question", "answer")))
                         best[r, number, item] = max(best.get((r, number, item), (got, total)), (got, total))
             for (r, number, item), (got, total) in sorted(best.items()):
                 shard = self.shards[number]

@@ -262,6 +262,40 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contaminated(table, bench.limit(0)).count() == 0
 
 
+def share_held(item, text):
+    """Part of the item's five-word shingles that the text holds."""
+    lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+    a, b = (x.encode().translate(lower).split() for x in (item, text))
+    k = min(5, len(a))
+    own = {tuple(a[i:i + k]) for i in range(len(a) - k + 1)}
+    return len(own & {tuple(b[i:i + k]) for i in range(len(b) - k + 1)}) / len(own)
+
+
+def test_decontamination_of_one_word_edits(spark):
+    bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
+    items = {r["item_id"]: r["text"] for r in bench.collect()}
+    pad, edits = "some other words come first " * 20, []
+    for item, text in items.items():
+        w = text.split()
+        for i in range(len(w)):
+            edits += [(item, w[:i] + ["changed"] + w[i + 1:]), (item, w[:i] + w[i + 1:]), (item, w[:i] + ["put", "in"] + w[i:])]
+    edits = [(n, item, pad[:n % 500] + " " + " ".join(w) + " " + pad) for n, (item, w) in enumerate(edits)]
+    want = {(n, item) for n, item, text in edits if share_held(items[item], text) >= 0.8}
+    table = spark.createDataFrame([(n, text) for n, _, text in edits], "doc_id long, text string").repartition(4)
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, bench).collect()}
+    assert len(want) > 15000 and got == want
+
+
+def test_decontamination_without_the_rare_words(spark):
+    common = " ".join(f"c{i}" for i in range(40))
+    items = [f"{common} " + " ".join(f"r{j}x{i}" for i in range(10)) for j in range(30)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    table = spark.createDataFrame([(j, "x " * j + " ".join(t.split()[:-9]) + " y" * 99) for j, t in enumerate(items)], "doc_id long, text string")
+    assert {share_held(t, " ".join(t.split()[:-9])) for t in items} == {37 / 46}
+    got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, bench).collect())
+    assert got == [(j, j) for j in range(30)]
+
+
 def test_preference_pairs(spark):
     turns = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", None), (2, 0, None, "alone"),
              (4, 0, "user", "a"), (5, 0, "user", "a"), (None, 0, "user", "x")]
