@@ -17,7 +17,9 @@ always meet in one task and no text is compared with the whole corpus:
    a third of all documents share costs its holders one pre-aggregated row.
    What stays under one key are segments of unequal extent or content.
 4. An index (FM-index or suffix-array levels) over the segments of one key says
-   for each window of each distinct segment what holds of it.
+   for each window of each distinct segment what holds of it.  A key of more than
+   ``KEY_ROWS`` segments goes to no single task: its distinct segments are split
+   into windows, which are dealt by a 128-bit hash of the window and aggregated.
 5. The answer is joined back to the occurrences and then to the documents.
 
 Every stage covers whole texts; the anchors only remove windows that cannot
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import _BYTE, U64, cut, flat, gram_hashes, runs, slices, sliding_min, word_bounds, word_hashes
+from fleetlake.llm.common import _BYTE, U64, cut, flat, gram_hashes, mix, runs, slices, sliding_min, word_bounds, word_hashes
 
 TOP = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -196,11 +198,71 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def decide(found: DataFrame, index: Callable, chunk_units: int) -> DataFrame:
+#: segments of one key, repeats included, that one task may be dealt
+KEY_ROWS = 8192
+
+
+def _window_rows(s: Scheme):
+    """Every window of each distinct segment, named by two independent hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offs = flat(batch.column("seg"))
+            for a, b in slices(offs, 1 << 17):
+                h, first, _, _ = units(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], s.unit)
+                n = np.diff(first) - s.length + 1
+                row = np.repeat(np.arange(b - a), n)
+                start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                at = first[:-1][row] + start
+                take = pa.array(row + a)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(gram_hashes(x, s.length)[at].view(np.int64)) for x in (h, mix(h ^ TOP))] +
+                    [batch.column("digest").take(take), pa.array(start.astype(np.int32)), batch.column("lo").take(take), batch.column("c").take(take)],
+                    ["w1", "w2", "digest", "start", "lo", "c"])
+    return run
+
+
+def _window_answers(by_row: bool):
+    """The windows of a segment as the runs that an index gives: (first window,
+    windows, least id), the id 0 where it does not matter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for held in batch.column("held").to_pylist():
+                x = np.array(sorted((w["start"], w["lo"] if by_row else 0) for w in held), np.int64)
+                new = np.ones(len(x), bool)
+                new[1:] = (np.diff(x[:, 0]) != 1) | (np.diff(x[:, 1]) != 0)
+                edge = np.flatnonzero(new)
+                out.append(np.stack((x[edge, 0], np.diff(np.append(edge, len(x))), x[edge, 1]), axis=1).astype("<i8").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, pa.binary())], ["digest", "answer"])
+    return run
+
+
+def _decide_windows(found: DataFrame, s: Scheme, by_row: bool) -> DataFrame:
+    """Answers of the segments of large keys, without an index: equal windows meet by
+    their hash, and what they bring is combined in each task before the shuffle."""
+    segments = (found.select("digest", "key", "seg", "k1").mapInArrow(_combined, "digest binary, key long, seg binary, lo long, c long")
+                .groupBy("digest").agg(F.first("seg").alias("seg"), F.min("lo").alias("lo"), F.sum("c").alias("c")))
+    windows = cut(segments, "large").mapInArrow(_window_rows(s), "w1 long, w2 long, digest binary, start int, lo long, c long")
+    shared = windows.groupBy("w1", "w2").agg(F.min("lo").alias("lo"), F.sum("c").alias("c")).where("c > 1").select("w1", "w2", "lo")
+    return (windows.select("w1", "w2", "digest", "start").join(shared, ["w1", "w2"])
+            .groupBy("digest").agg(F.collect_list(F.struct("start", "lo")).alias("held"))
+            .mapInArrow(_window_answers(by_row), "digest binary, answer binary"))
+
+
+def decide(found: DataFrame, index: Callable, chunk_units: int, s: Scheme, by_row: bool) -> DataFrame:
     """``index(segs, lo, c, keys)`` -> one answer (bytes) for each distinct segment.
 
     Equal segments are combined in each task and then dealt by key; a task hands
-    whole keys to the index, as many as fit ``chunk_units`` bytes."""
+    whole keys to the index, as many as fit ``chunk_units`` bytes.  Keys of more than
+    ``KEY_ROWS`` segments are decided window by window instead."""
+    large = cut(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > KEY_ROWS).select("key"), "large-keys")
+    if large.isEmpty():
+        return _decide_keys(found, index, chunk_units)
+    return (_decide_keys(found.join(large, "key", "left_anti"), index, chunk_units)
+            .unionByName(_decide_windows(found.join(large, "key", "left_semi"), s, by_row)))
+
+
+def _decide_keys(found: DataFrame, index: Callable, chunk_units: int) -> DataFrame:
     dealt = (found.select("digest", "key", "seg", "k1").mapInArrow(_combined, "digest binary, key long, seg binary, lo long, c long")
              .repartition("key").sortWithinPartitions("key", "digest"))
 

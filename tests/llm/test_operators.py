@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetlake.llm import block_knn, decontaminate, jaccard_join, quality, substring_dedup, suffix_dedup, token_shards, warc
+from fleetlake.llm import block_knn, decontaminate, dup_windows, jaccard_join, quality, substring_dedup, suffix_dedup, token_shards, warc
 from fleetlake.llm.chat import preference_pairs
 from fleetlake.llm.components import components
 from fleetlake.llm.fm_index import FMIndex
@@ -163,6 +163,37 @@ def test_suffix_dedup(docs, none, length, keep, batch):
     assert suffix_dedup.suffix_dedup(none, length, keep).count() == 0
 
 
+def near_copies():
+    r = random.Random(4)
+    base = [f"v{r.randint(0, 500)}" for _ in range(90)]
+    texts = [(100 + i, " ".join(base[r.randint(0, 9):i + 12] + ["edit"] * (i % 3) + [f"e{i % 7}"] + base[i + 12:90 - r.randint(0, 9)])) for i in range(60)]
+    return [(i, t) for i, t, *_ in rows_of()] + texts + [texts[5], (None, texts[6][1])]
+
+
+@pytest.mark.parametrize(("module", "make"), [(substring_dedup, "fm_answers"), (suffix_dedup, "level_answers")])
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_no_task_gathers_a_large_key(spark, monkeypatch, module, make, keep):
+    made = getattr(module, make)
+
+    def bounded(*args):
+        index = made(*args)
+
+        def run(segs, lo, c, keys):
+            assert max(map(keys.count, keys)) <= 6, "one task gathers a large key"
+            return index(segs, lo, c, keys)
+        return run
+    monkeypatch.setattr(module, make, bounded)
+    monkeypatch.setattr(dup_windows, "KEY_ROWS", 6, raising=False)
+    texts = near_copies()
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    if module is substring_dedup:
+        got = substring_dedup.substring_dedup(docs, 8).drop("kept_text")
+        assert sorted(map(tuple, got.collect()), key=key) == words_kept(texts, 8)
+    else:
+        got = suffix_dedup.suffix_dedup(docs, 40, keep).drop("kept")
+        assert sorted(map(tuple, got.collect()), key=key) == bytes_kept(texts, 40, keep == "first")
+
+
 def test_without_repeats_keeps_columns(docs):
     out = suffix_dedup.without_repeats(docs)
     assert out.columns == docs.columns
