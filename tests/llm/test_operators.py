@@ -317,6 +317,21 @@ def test_decontamination_of_one_word_edits(spark):
     assert len(want) > 15000 and got == want
 
 
+def test_decontamination_of_every_item_and_document(spark):
+    bench, docs = (spark.read.parquet(f"/root/testdata/sf0.001/{x}.parquet") for x in ("benchmark", "documents"))
+    items = {r["item_id"]: r["text"] for r in bench.collect()}
+    texts = [(r["doc_id"], r["text"] or "") for r in docs.orderBy("doc_id").limit(120).collect()]
+    for n, (i, t) in enumerate(texts[:40]):  # one item with one word changed in each
+        item, w = items[n], items[n].split()
+        w[n * 7 % len(w)] = "changed"
+        texts[n] = (i, t[:3000] + " " + " ".join(w) + " " + t[3000:])
+    want = {(i, item) for i, t in texts for item, x in items.items() if share_held(x, t) >= 0.8}
+    table = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, bench).collect()}
+    left = {r["doc_id"] for r in decontaminate.decontaminate(table, bench).collect()}
+    assert len(want) > 15 and got == want and left == {i for i, _ in texts} - {i for i, _ in want}
+
+
 def test_decontamination_without_the_rare_words(spark):
     common = " ".join(f"c{i}" for i in range(40))
     items = [f"{common} " + " ".join(f"r{j}x{i}" for i in range(10)) for j in range(30)]
