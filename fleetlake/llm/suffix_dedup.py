@@ -5,8 +5,10 @@ Candidate segments come from ``dup_windows``.  A task feeds the distinct
 segments of a key to a logarithmic family of suffix-array levels: a batch gets a
 suffix array of its own, is merge-scanned against every level for matches of
 the full length (both sides of a match are marked), and then levels of the same
-size class merge, so that every segment is sorted a logarithmic number of times.
-Levels above a size bound are not merged further, only scanned.  A key that fits
+size class merge.  Scan and merge build the suffix array of both sides anew, so
+segments are sorted again with each later batch of their key; the bound on a
+key's segments in ``dup_windows`` bounds that.  Levels above a size bound are not
+merged further, only scanned.  A key that fits
 one batch is one level.
 
 Two modes: ``keep="none"`` removes every copy (the same document included);
