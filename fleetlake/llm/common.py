@@ -116,9 +116,11 @@ def _powers(n: int) -> np.ndarray:
     return _POW
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and per row the first word's index (n+1 values)."""
-    ink = ~_SPACE[data]
+def word_bounds(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and per row the first word's index (n+1 values).
+
+    ``gaps`` marks the bytes between words."""
+    ink = ~gaps[data]
     first = ink.copy()
     first[1:] &= ~ink[:-1]
     last = ink.copy()

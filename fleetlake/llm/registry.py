@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetlake.llm.block_knn import OP10_SQL, op10_block_knn
 from fleetlake.llm.chat import OP5_SQL, op5_chat
+from fleetlake.llm.collocations import OP13_SQL, op13_collocations
 from fleetlake.llm.decontaminate import op3_decontaminate
 from fleetlake.llm.exact_dedup import OP12_SQL, op12_exact_dedup
 from fleetlake.llm.hard_negatives import OP11_SQL, op11_hard_negatives
@@ -34,8 +35,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_block_knn": op10_block_knn,
         "op11_hard_negatives": op11_hard_negatives,
         "op12_exact_dedup": op12_exact_dedup,
+        "op13_collocations": op13_collocations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat": OP5_SQL, "op10_block_knn": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op12_exact_dedup": OP12_SQL}
+    return {"op5_chat": OP5_SQL, "op10_block_knn": OP10_SQL, "op11_hard_negatives": OP11_SQL, "op12_exact_dedup": OP12_SQL,
+            "op13_collocations": OP13_SQL}
