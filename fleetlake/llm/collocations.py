@@ -45,7 +45,7 @@ from fleetlake.llm.double_array import DoubleArray
 TRIE_KEYS = 1 << 19
 PASS_TRIES = 4
 #: rows that a task gathers before it combines them
-GATHER = 1 << 21
+GATHER = 1 << 18
 
 #: fixed by the definition: what ends a piece, and what ends a word
 _PIECE = np.zeros(256, bool)
@@ -73,7 +73,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, rows = [], 0
 
     def combined():
-        return pa.concat_tables(held).group_by(["lang", "word"]).aggregate([("n", "sum")]).rename_columns(["lang", "word", "n"])
+        return pa.concat_tables(held).group_by(["lang", "word"], use_threads=False).aggregate([("n", "sum")]).rename_columns(["lang", "word", "n"])
 
     for own, starts, ends, row, langs, *_ in _slices(batches):
         if not len(starts):
@@ -83,7 +83,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(own[~_GAP[own]])))
         kinds = langs.dictionary_encode()
         code = kinds.indices.to_numpy(zero_copy_only=False)[row]
-        counts = pa.table({"code": pa.array(code, pa.int32()), "word": words}).group_by(["code", "word"]).aggregate([([], "count_all")])
+        counts = pa.table({"code": pa.array(code, pa.int32()), "word": words}).group_by(["code", "word"], use_threads=False).aggregate([([], "count_all")])
         totals = np.bincount(code, minlength=len(kinds.dictionary))
         held.append(pa.table({"lang": kinds.dictionary.take(counts["code"].combine_chunks()), "word": counts["word"].combine_chunks(), "n": counts["count_all"].combine_chunks()}))
         held.append(pa.table({"lang": kinds.dictionary, "word": pa.nulls(len(totals), pa.string()), "n": pa.array(totals, pa.int64())}))
@@ -147,12 +147,22 @@ def _encode(shared, last: bool):
                 at = np.arange(len(ids)) + np.cumsum(apart)
                 stream = np.zeros(at[-1] + 1, "<i4")
                 stream[at] = ids
-                yield pa.RecordBatch.from_arrays([pa.array([stream.tobytes()], pa.binary())], ["ids"])
+                yield pa.RecordBatch.from_arrays([_cell(stream)], ["ids"])
     return run
 
 
 # phrases ------------------------------------------------------------------------
 
+def _cells(column: pa.Array, kind: str) -> Iterator[np.ndarray | None]:
+    """The rows of a binary column as arrays, without copies; None for a null."""
+    return (np.frombuffer(x.as_buffer(), kind) if x.is_valid else None for x in column)
+
+
+def _cell(values: np.ndarray) -> pa.Array:
+    """One binary row over the bytes of ``values``, without a copy."""
+    return pa.Array.from_buffers(pa.large_binary(), 1, [None, pa.py_buffer(np.array([0, values.nbytes], np.int64)), pa.py_buffer(values)]).cast(pa.binary())
+
+
 class Tally:
     """Counts of (a, b) pairs, combined whenever many have gathered; ``most`` bounds a count that is sent."""
 
@@ -160,14 +170,15 @@ class Tally:
         self.most, self.parts, self.size = most, [], 0
 
     def add(self, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append((a.astype(np.int64), b.astype(np.int64)))
+        self.parts.append((a, b))
         self.size += len(a)
         if self.size > GATHER:
             yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.size:
-            a, b = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            a, b = (np.concatenate(x).astype(np.int64) for x in zip(*self.parts, strict=True))
+            self.parts = []
             if a.max() < 1 << 31 and b.max() < 1 << 31:
                 key, n = np.unique(a << 32 | b, return_counts=True)
                 a, b = key >> 32, key & 0xFFFFFFFF
@@ -184,21 +195,19 @@ def _propose_pairs(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(least)
         for batch in batches:
-            for raw in batch.column("ids").to_pylist():
-                ids = np.frombuffer(raw, "<i4")
+            for ids in _cells(batch.column("ids"), "<i4"):
                 at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
                 yield from tally.add(ids[at], ids[at + 1])
         yield from tally.flush()
     return run
 
 
-def _propose_triples(least: int):
+def _propose_triples(least: int, kind: str):
     """(two-word phrase, third word) where the last two words are a candidate as well."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally = Tally(least)
         for batch in batches:
-            for raw, marks in zip(batch.column("ids").to_pylist(), batch.column("marks").to_pylist(), strict=True):
-                ids, pairs = np.frombuffer(raw, "<i4"), np.frombuffer(marks, "<i8")
+            for ids, pairs in zip(_cells(batch.column("ids"), "<i4"), _cells(batch.column("marks"), kind), strict=True):
                 at = np.flatnonzero((pairs[:-1] > 0) & (pairs[1:] > 0))
                 yield from tally.add(pairs[at], ids[at + 2])
         yield from tally.flush()
@@ -222,17 +231,16 @@ def _phrase_trie(candidates: DataFrame, words: list[str], shard: int, width: int
     return shard, DoubleArray(digits.ravel(), np.arange(len(order) + 1) * digits.shape[1]), columns[-1][order]
 
 
-def _walk(shared, length: int, shards: int, width: int, mark: bool):
-    """Counts of the broadcast candidates, and on ``mark`` the stream with the phrase that starts at each position."""
+def _walk(shared, length: int, shards: int, width: int, mark: str | None):
+    """Counts of the broadcast candidates, and with a type ``mark`` the stream with the phrase that starts at each position."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tries = shared.value
         sums = [np.zeros(trie.n_keys, np.int64) for _, trie, _ in tries]
         for batch in batches:
-            before = batch.column("marks").to_pylist()
-            for raw, old in zip(batch.column("ids").to_pylist(), before, strict=True):
-                ids = np.frombuffer(raw, "<i4").astype(np.int64)
+            for row, (ids, old) in enumerate(zip(_cells(batch.column("ids"), "<i4"), _cells(batch.column("marks"), mark or "<i4"), strict=True)):
+                ids = ids.astype(np.int64)
                 n = len(ids) - length + 1
-                marks = np.frombuffer(old, "<i8").copy() if old else np.zeros(max(0, len(ids) - 1), np.int64)
+                marks = None if not mark else np.zeros(max(0, len(ids) - 1), mark) if old is None else old.copy()
                 if n > 0:
                     whole = np.logical_and.reduce([ids[i:i + n] > 0 for i in range(length)])
                     at = np.flatnonzero(whole)
@@ -250,7 +258,7 @@ def _walk(shared, length: int, shards: int, width: int, mark: bool):
                         if mark:
                             marks[live[on]] = numbers[accepted]
                 if mark:
-                    yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary()), pa.array([marks.tobytes()], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["ids", "marks", "no", "n"])
+                    yield pa.RecordBatch.from_arrays([batch.column("ids").slice(row, 1), _cell(marks), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["ids", "marks", "no", "n"])
         for total, (_, _, numbers) in zip(sums, tries, strict=True):
             some = np.flatnonzero(total)
             blank = pa.nulls(len(some), pa.binary())
@@ -261,7 +269,7 @@ def _walk(shared, length: int, shards: int, width: int, mark: bool):
 WALKED = "ids binary, marks binary, no long, n long"
 
 
-def _count(stream: DataFrame, candidates: DataFrame, words: list[str], shards: int, width: int, mark: bool) -> tuple[DataFrame, DataFrame]:
+def _count(stream: DataFrame, candidates: DataFrame, words: list[str], shards: int, width: int, mark: str | None) -> tuple[DataFrame, DataFrame]:
     """(candidates with ``f``, marked stream): one pass over the stream for each ``PASS_TRIES`` tries."""
     spark, counts = stream.sparkSession, None
     for some in _passes(shards):
@@ -301,13 +309,14 @@ def phrases(docs: DataFrame, least: int = 10, text_col: str = "text", lang_col:
     pairs = cut(proposed.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
                 .select(F.col("a").alias("w1"), F.col("b").alias("w2")), "pair-candidates")
     pairs, shards = _number(pairs, lambda k: _deal(["w1", "w2"], k), ["w1", "w2"], pairs.count(), "pairs")
-    pairs, marked = _count(stream, pairs, ["w1", "w2"], shards, width, mark=True)
+    kind = "<i4" if (pairs.agg(F.max("no")).first()[0] or 0) < 1 << 31 else "<i8"
+    pairs, marked = _count(stream, pairs, ["w1", "w2"], shards, width, mark=kind)
 
-    proposed = marked.mapInArrow(_propose_triples(least), "a long, b long, n long")
+    proposed = marked.mapInArrow(_propose_triples(least, kind), "a long, b long, n long")
     triples = proposed.groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     triples = cut(triples.join(pairs.select(F.col("no").alias("a"), "w1", "w2"), "a").select("w1", "w2", F.col("b").alias("w3")), "triple-candidates")
     triples, shards = _number(triples, lambda k: _deal(["w1", "w2", "w3"], k), ["w1", "w2", "w3"], triples.count(), "triples")
-    triples, _ = _count(stream, triples, ["w1", "w2", "w3"], shards, width, mark=False)
+    triples, _ = _count(stream, triples, ["w1", "w2", "w3"], shards, width, mark=None)
     return totals, words.select("no", "lang", "word", "f"), pairs, triples
 
 
