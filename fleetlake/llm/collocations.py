@@ -13,8 +13,8 @@ the phrases inside it are (the Apriori rule), so each level's candidates are saf
    keep those that reach it.
 4. *Counts.*  The candidates go into broadcast tries over the word numbers' bytes;
    all positions of a slice start at the root and advance together, level by level;
-   the accepting states are counted with ``bincount`` for each task, and the tasks'
-   sums are added.  The two-word pass also marks the stream with the phrases found,
+   the accepting states are counted with ``bincount`` in each task, and the tasks'
+   count vectors travel in chunks and are added.  The two-word pass also marks the stream with the phrases found,
    from which the three-word candidates are proposed.
 5. *Scores* are joins of these tables with exact 38-digit decimals.
 
@@ -44,6 +44,8 @@ from fleetlake.llm.double_array import DoubleArray
 
 TRIE_KEYS = 1 << 19
 PASS_TRIES = 4
+#: keys of a trie whose counts travel in one row
+CHUNK = 1 << 13
 #: rows that a task gathers before it combines them
 GATHER = 1 << 18
 
@@ -258,15 +260,39 @@ def _walk(shared, length: int, shards: int, width: int, mark: str | None):
                         if mark:
                             marks[live[on]] = numbers[accepted]
                 if mark:
-                    yield pa.RecordBatch.from_arrays([batch.column("ids").slice(row, 1), _cell(marks), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], ["ids", "marks", "no", "n"])
-        for total, (_, _, numbers) in zip(sums, tries, strict=True):
-            some = np.flatnonzero(total)
-            blank = pa.nulls(len(some), pa.binary())
-            yield pa.RecordBatch.from_arrays([blank, blank, pa.array(numbers[some].astype(np.int64)), pa.array(total[some])], ["ids", "marks", "no", "n"])
+                    yield pa.RecordBatch.from_arrays([batch.column("ids").slice(row, 1), _cell(marks), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())], WALKED_NAMES)
+        for total, (shard, _, _) in zip(sums, tries, strict=True):
+            for c in range(0, len(total), CHUNK):
+                part = total[c:c + CHUNK]
+                if part.any():
+                    blank = pa.nulls(1, pa.binary())
+                    yield pa.RecordBatch.from_arrays([blank, blank, pa.array([shard], pa.int32()), pa.array([c], pa.int64()), _cell(part)], WALKED_NAMES)
     return run
 
 
-WALKED = "ids binary, marks binary, no long, n long"
+WALKED = "ids binary, marks binary, shard int, first long, counts binary"
+WALKED_NAMES = ["ids", "marks", "shard", "first", "counts"]
+
+
+def _added(shards: int):
+    """(no, f) of the chunks' sums; the rows of a chunk lie together.  A key's number follows from its place."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = None, None
+
+        def done():
+            some = np.flatnonzero(total)
+            return pa.RecordBatch.from_arrays([pa.array((held[1] + some) * shards + held[0] + 1), pa.array(total[some])], ["no", "f"])
+
+        for batch in batches:
+            for key, counts in zip(zip(batch.column("shard").to_pylist(), batch.column("first").to_pylist(), strict=True), _cells(batch.column("counts"), "<i8"), strict=True):
+                if key != held:
+                    if held is not None:
+                        yield done()
+                    held, total = key, np.zeros(len(counts), np.int64)
+                total += counts
+        if held is not None:
+            yield done()
+    return run
 
 
 def _count(stream: DataFrame, candidates: DataFrame, words: list[str], shards: int, width: int, mark: str | None) -> tuple[DataFrame, DataFrame]:
@@ -276,11 +302,11 @@ def _count(stream: DataFrame, candidates: DataFrame, words: list[str], shards: i
         shared = spark.sparkContext.broadcast([_phrase_trie(candidates, words, shard, width) for shard in some])
         walked = cut(stream.mapInArrow(_walk(shared, len(words), shards, width, mark), WALKED), "walked")
         shared.destroy()
-        found = walked.where(F.col("no").isNotNull()).select("no", "n")
+        found = walked.where(F.col("shard").isNotNull()).select("shard", "first", "counts")
         counts = found if counts is None else counts.unionByName(found)
         if mark:
             stream = walked.where(F.col("ids").isNotNull()).select("ids", "marks")
-    sums = counts.groupBy("no").agg(F.sum("n").alias("f"))
+    sums = counts.repartition("shard", "first").sortWithinPartitions("shard", "first").mapInArrow(_added(shards), "no long, f long")
     return cut(candidates.join(sums, "no").select("no", *words, "f"), "phrases"), stream
 
 
