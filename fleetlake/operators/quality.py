@@ -28,12 +28,17 @@ class KeyViolation(ValueError):
 def assert_keys_valid(df: DataFrame, keys, sample: int = 20) -> None:
     """Fail like the database would on a duplicate or NULL key.
 
-    One bounded job per check: only up to ``sample`` offending keys reach the
-    driver for the error message.
+    One aggregate, combined before the shuffle; only up to ``sample`` offending
+    keys reach the driver for the error message.
     """
-    bad_null = null_key_violations(df, keys).select(*keys).take(sample)
-    if bad_null:
-        raise KeyViolation(f"NULL in key {list(keys)}: {[r.asDict() for r in bad_null]}")
-    dup = key_violations(df, keys).take(sample)
-    if dup:
-        raise KeyViolation(f"duplicate key {list(keys)}: {[r.asDict() for r in dup]}")
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bad = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where((F.col("n_rows") > 1) | any_null)
+           .withColumn("null_key", any_null).take(sample))
+    raise_violations(keys, bad)
+
+
+def raise_violations(keys, bad) -> None:
+    """``bad`` holds rows of the keys, ``n_rows`` and ``null_key``."""
+    if bad:
+        what = "NULL in" if any(r["null_key"] for r in bad) else "duplicate"
+        raise KeyViolation(f"{what} key {list(keys)}: {[r.asDict() for r in bad]}")

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.functions.timeutil import capture_time_local, hour_id
-from fleetlake.schemas import SILVER_COLUMNS
+from fleetlake.functions.timeutil import LOCAL_ZONE, capture_time_local, hour_id
+from fleetlake.schemas import LINE, SILVER_COLUMNS
 
 
 def explode_lines(bronze: DataFrame, keep: tuple[str, ...] = ("recv_date", "recv_hour")) -> DataFrame:
@@ -44,6 +44,32 @@ def reference_date(recv_date: Column | str = "recv_date", recv_hour: Column | st
             .when(ahead < -12, F.date_format(F.date_add(day, 1), "yyyyMMdd")).otherwise(d))
 
 
+def capture_reference(zone: str = LOCAL_ZONE) -> Column:
+    """Local time that a document was captured at: the last of its vehicles' capture texts."""
+    texts = F.flatten(F.transform("l", lambda line: F.transform(F.coalesce(line["vs"], F.array().cast(line_vehicles())), lambda v: v["ta"])))
+    return capture_time_local(F.array_max(texts), zone)
+
+
+def line_vehicles():
+    return LINE["vs"].dataType
+
+
+def document_date(recv_date: str = "recv_date", recv_hour: str = "recv_hour", hr: str = "hr") -> Column:
+    """Local date of a document of any lateness.
+
+    ``reference_date`` relates ``hr`` to the reception hour, which holds for half a
+    day.  A document's own capture times name its date however late it arrives, so
+    ``hr`` is related to the last of them; without one that parses, or with one more
+    than half a day after the reception (a vehicle's clock far ahead), to the
+    reception hour.
+    """
+    captured = capture_reference()
+    received = F.to_timestamp_ntz(F.concat(recv_date, recv_hour), F.lit("yyyyMMddHH"))
+    usable = captured <= received + F.make_dt_interval(F.lit(0), F.lit(13))
+    by_capture = reference_date(F.date_format(captured, "yyyyMMdd"), F.date_format(captured, "HH"), hr)
+    return F.when(usable, by_capture).otherwise(reference_date(recv_date, recv_hour, hr))
+
+
 def flatten_positions(bronze: DataFrame, data_ref: str | Column | None = None,
                       *, with_hour: bool = True) -> DataFrame:
     """The silver job's body as one lazy function.
@@ -58,9 +84,11 @@ def flatten_positions(bronze: DataFrame, data_ref: str | Column | None = None,
         date_col = F.lit(data_ref)
     else:
         date_col = data_ref
-    vehicles = explode_vehicles(explode_lines(bronze))
+    # a document's date is worked out once, before its vehicles become rows
+    dated = bronze.withColumn("doc_date", date_col)
+    vehicles = explode_vehicles(explode_lines(dated, ("doc_date",)))
     out = vehicles.select(
-        date_col.alias("data_ref"),
+        F.col("doc_date").alias("data_ref"),
         F.col("hr").alias("hora_ref"),
         F.col("vehicle.p").alias("cod_onibus"),
         F.col("line.sl").alias("sentido_linha"),

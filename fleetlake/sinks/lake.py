@@ -6,24 +6,26 @@
 * ``clear_hours`` empties processed hours that produced no rows (G9): a dynamic
   overwrite with no rows would otherwise leave the previous run's rows.
 * ``upsert_table`` merges a stage frame into a table by key, rewriting only the
-  touched hours.  The merged rows are checkpointed to the shared checkpoint
-  folder first, because a plan may not overwrite the files it is reading.
+  touched hours, as a new version of them that the manifest then publishes: the
+  files that the merge reads are never overwritten.
 * ``mark_done`` records one completion row per (job, hour) after all tables of
-  a job are written (K7 – the files have no multi-table transaction).
+  a job are committed.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from fleetlake.operators.merge import upsert_frames
-from fleetlake.operators.quality import assert_keys_valid
+from fleetlake.operators.quality import raise_violations
 from fleetlake.schemas import HOUR_PARTITIONS, TABLES
-from fleetlake.session import checkpoint_root
+from fleetlake.session import scratch_path
+from fleetlake.sinks.versions import commit, new_run, run_path
 from fleetlake.sources.lake import read_gold
 
 
@@ -97,34 +99,61 @@ def _stage_with_hour(stage: DataFrame, hour_col: str) -> DataFrame:
     return stage.withColumn("hora_id_ref", F.substring(hour_col, 1, 2))
 
 
-def upsert_table(spark: SparkSession, stage: DataFrame, root: str, table: str, *,
-                 check_keys: bool = True) -> DataFrame:
-    """K6: ``INSERT .. ON CONFLICT (keys) DO UPDATE`` on a Parquet table.
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared scratch folder and read it back, so that what
+    follows (checks, hour lists, several outputs) evaluates it once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Only the hours present in ``stage`` are read and rewritten.  Duplicate or
-    NULL stage keys fail the call (C1/C2), as the database statement would.
-    Returns the merged rows of the touched hours.
-    """
+
+def checked_hours(stage: DataFrame, keys, sample: int = 20) -> list[tuple[str, str]]:
+    """Hours of a staged frame, or ``KeyViolation``: keys, NULLs and hours in one aggregate.
+
+    The driver gets one row per hour, with one of its offending keys."""
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    by = list(dict.fromkeys([*HOUR_PARTITIONS, *keys]))
+    counted = stage.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("null_key", any_null)
+    offending = F.when((F.col("n_rows") > 1) | F.col("null_key"), F.struct(*keys, "n_rows", "null_key"))
+    per_hour = counted.groupBy(*HOUR_PARTITIONS).agg(F.min(offending).alias("bad")).collect()
+    raise_violations(keys, [r["bad"] for r in per_hour if r["bad"] is not None][:sample])
+    return sorted((r[0], r[1]) for r in per_hour)
+
+
+def prepare_upsert(spark: SparkSession, stage: DataFrame, root: str, table: str, run: str, *,
+                   check_keys: bool = True) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """K6 up to publication: the merged rows of the touched hours, written as version ``run``.
+
+    The stage is computed once, into the shared scratch folder."""
     t = TABLES[table]
-    path = f"{root.rstrip('/')}/{table}"
-    staged = _stage_with_hour(stage.select(*t.columns), t.hour_col)
-    if check_keys:
-        assert_keys_valid(staged, t.keys)
-    # the touched hours: one row per (date, hour) of the stage – a handful per run
-    touched = sorted({r[0] + r[1] for r in staged.select(*HOUR_PARTITIONS).distinct().collect()})
-    # a predicate on partition columns only: the scan reads just those hours.  The
-    # declared-schema reader fails at once on a missing table (first run).
-    hours = F.concat(F.col("data_ref"), F.col("hora_id_ref")).isin(touched)
+    rows = staged(_stage_with_hour(stage.select(*t.columns), t.hour_col), f"stage-{table}")
+    touched = checked_hours(rows, t.keys) if check_keys else sorted((r[0], r[1]) for r in rows.select(*HOUR_PARTITIONS).distinct().collect())
+    # a predicate on partition columns only: the scan reads just those hours
+    hours = F.concat(F.col("data_ref"), F.col("hora_id_ref")).isin([d + h for d, h in touched])
     try:
         current = read_gold(spark, root, table, hours, keep_hour_column=True)
+        merged = upsert_frames(current.select(*rows.columns), rows, t.keys)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":  # anything else would lose the table's rows
             raise
-        current = None
-    merged = staged if current is None else upsert_frames(current.select(*staged.columns), staged, t.keys)
-    checkpoint_root(spark)
-    merged = merged.checkpoint(eager=True)   # cut the lineage before overwriting the source hours
-    write_hours(merged, path, layout="hash", hours_hint=len(touched))
+        merged = rows                              # first run
+    if touched:
+        write_hours(merged, run_path(root, table, run), layout="hash", hours_hint=len(touched))
+    return merged, touched
+
+
+def upsert_table(spark: SparkSession, stage: DataFrame, root: str, table: str, *,
+                 check_keys: bool = True) -> DataFrame:
+    """K6: ``INSERT .. ON CONFLICT (keys) DO UPDATE`` on a Parquet table.
+
+    Only the hours present in ``stage`` are read and rewritten, as a new version that
+    readers see once it is complete.  Duplicate or NULL stage keys fail the call
+    (C1/C2), as the database statement would.  Returns the merged rows of the touched hours.
+    """
+    run = new_run("upsert")
+    merged, touched = prepare_upsert(spark, stage, root, table, run, check_keys=check_keys)
+    if touched:
+        commit(spark, root, "upsert", run, {table: touched})
     return merged
 
 
@@ -145,5 +174,6 @@ def mark_done(spark: SparkSession, root: str, job: str, hours: list[tuple[str, s
     """K7: completion marker rows, appended after every table of the job is written."""
     now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     rows = [(job, d, h, now) for d, h in hours]
-    (spark.createDataFrame(rows, "job string, data_ref string, hora_id_ref string, finished_utc string")
+    # one file for each day, however many default partitions the session has
+    (spark.createDataFrame(rows, "job string, data_ref string, hora_id_ref string, finished_utc string").coalesce(1)
      .write.mode("append").partitionBy("job", "data_ref").parquet(f"{root.rstrip('/')}/_job_runs"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetlake.schemas import BRONZE
+from fleetlake.sinks.log import folders
 
 BRONZE_WITH_PARTITIONS = StructType(BRONZE.fields + [StructField("recv_date", StringType()),
                                                      StructField("recv_hour", StringType())])
@@ -19,9 +20,14 @@ CORRUPT = "_corrupt_record"
 
 
 def read_bronze(spark: SparkSession, root: str, hours: Column | None = None, *,
-                multi_line: bool = False, keep_corrupt: bool = False) -> DataFrame:
+                multi_line: bool = False, keep_corrupt: bool = False,
+                receptions: list[tuple[str, str]] | None = None) -> DataFrame:
     """Read landing documents; ``hours`` is a predicate on ``recv_date``/``recv_hour``.
 
+    ``receptions`` names the reception hours outright: only their folders are
+    listed and opened, however long the landing's history is; those without a
+    folder are left out, and with none left the frame is empty.
+
     ``multi_line`` reads pretty-printed documents; ``keep_corrupt`` keeps
     unparsable lines in ``_corrupt_record`` (PERMISSIVE mode) instead of
     silently turning them into all-null rows.
@@ -33,10 +39,27 @@ def read_bronze(spark: SparkSession, root: str, hours: Column | None = None, *,
               .option("multiLine", str(multi_line).lower()))
     if keep_corrupt:
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.json(root)
+    if receptions is None:
+        df = reader.json(root)
+    else:
+        paths = landed(spark, root, receptions)
+        df = reader.option("basePath", root).json(paths) if paths else spark.createDataFrame([], schema)
     return df.where(hours) if hours is not None else df
 
 
+def landed(spark: SparkSession, root: str, receptions: list[tuple[str, str]]) -> list[str]:
+    """Folders of the asked reception hours that exist (one listing for each day asked)."""
+    there = set()
+    for day in sorted({d for d, _ in receptions}):
+        there |= {tuple(x.partition("=")[2] for x in p.rstrip("/").rsplit("/", 2)[1:]) for p in folders(spark, f"{root.rstrip('/')}/recv_date={day}/recv_hour=*")}
+    return [f"{root.rstrip('/')}/recv_date={d}/recv_hour={h}" for d, h in sorted(set(receptions) & there)]
+
+
+def bad_document(column: str = CORRUPT) -> Column:
+    """True for a document that does not parse, or whose ``hr`` names no minute of a day."""
+    return F.col(column).isNotNull() | ~F.coalesce(F.col("hr").rlike("^([01][0-9]|2[0-3]):[0-5][0-9]$"), F.lit(False))
+
+
 def write_bronze(docs: DataFrame, root: str, mode: str = "overwrite") -> None:
     """I2 landing write: documents partitioned by reception date and hour."""
     (docs.hint("rebalance", "recv_date", "recv_hour").write.mode(mode)
