@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIN_PAYLOAD = 3000  # parameter; the original threshold value is not published
@@ -34,3 +34,38 @@ def file_sizes(spark, path: str) -> DataFrame:
     """I1 on raw files: size of every landed file without reading its content."""
     return (spark.read.format("binaryFile").load(path)
             .select(F.col("path"), F.col("length").alias("payload_len")))
+
+
+#: how a raw document's path names it: reception time to the second, then an id
+RAW_NAME = r"([0-9]{8})T([0-9]{2})[0-9]{4}_([^/.]+)"
+
+
+def raw_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Documents of a drop zone, one per file: payload_id, recv_date, recv_hour, payload_len, body, source_file.
+
+    The size is the file's own (``_metadata.file_size``).  Reception time and id are
+    the ones in the path (``20240115T100700_<id>``, as file or folder); where it has
+    none, the file's modification time in the session zone and its name.
+    """
+    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    where, at = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    named = where.rlike(RAW_NAME)
+
+    def part(i):
+        return F.regexp_extract(where, RAW_NAME, i)
+
+    return files.select(
+        F.when(named, part(3)).otherwise(F.regexp_replace(F.col("_metadata.file_name"), r"\.[A-Za-z0-9]+$", "")).alias("payload_id"),
+        F.when(named, part(1)).otherwise(F.date_format(at, "yyyyMMdd")).alias("recv_date"),
+        F.when(named, part(2)).otherwise(F.date_format(at, "HH")).alias("recv_hour"),
+        F.col("_metadata.file_size").alias("payload_len"), F.col("value").alias("body"), where.alias("source_file"))
+
+
+def flag_documents(documents: DataFrame, min_length: int = MIN_PAYLOAD) -> DataFrame:
+    """I1 by file size: OK when the file is larger than the minimum."""
+    return documents.withColumn("payload_ok", F.col("payload_len") > F.lit(min_length))
+
+
+def document_name() -> Column:
+    """I2/I3 name ``yyyyMMdd_HH_<id>`` of a routed document (characters that no path may hold become ``-``)."""
+    return F.concat_ws("_", "recv_date", "recv_hour", F.regexp_replace("payload_id", r"[^A-Za-z0-9._-]", "-"))

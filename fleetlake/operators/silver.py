@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlake.functions.timeutil import LOCAL_ZONE, capture_time_local, hour_id
-from fleetlake.schemas import LINE, SILVER_COLUMNS
+from fleetlake.schemas import SILVER_COLUMNS
 
 
 def explode_lines(bronze: DataFrame, keep: tuple[str, ...] = ("recv_date", "recv_hour")) -> DataFrame:
@@ -44,14 +44,15 @@ def reference_date(recv_date: Column | str = "recv_date", recv_hour: Column | st
             .when(ahead < -12, F.date_format(F.date_add(day, 1), "yyyyMMdd")).otherwise(d))
 
 
-def capture_reference(zone: str = LOCAL_ZONE) -> Column:
-    """Local time that a document was captured at: the last of its vehicles' capture texts."""
-    texts = F.flatten(F.transform("l", lambda line: F.transform(F.coalesce(line["vs"], F.array().cast(line_vehicles())), lambda v: v["ta"])))
-    return capture_time_local(F.array_max(texts), zone)
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def line_vehicles():
-    return LINE["vs"].dataType
+def capture_reference(zone: str = LOCAL_ZONE) -> Column:
+    """Local time that a document was captured at: the last of its vehicles' capture texts."""
+    texts = F.flatten(F.filter(F.transform("l", lambda line: F.transform(line["vs"], lambda v: v["ta"])), lambda x: x.isNotNull()))
+    return _bound(F.array_max(texts), lambda text: capture_time_local(text, zone))
 
 
 def document_date(recv_date: str = "recv_date", recv_hour: str = "recv_hour", hr: str = "hr") -> Column:
@@ -63,11 +64,10 @@ def document_date(recv_date: str = "recv_date", recv_hour: str = "recv_hour", hr
     than half a day after the reception (a vehicle's clock far ahead), to the
     reception hour.
     """
-    captured = capture_reference()
     received = F.to_timestamp_ntz(F.concat(recv_date, recv_hour), F.lit("yyyyMMddHH"))
-    usable = captured <= received + F.make_dt_interval(F.lit(0), F.lit(13))
-    by_capture = reference_date(F.date_format(captured, "yyyyMMdd"), F.date_format(captured, "HH"), hr)
-    return F.when(usable, by_capture).otherwise(reference_date(recv_date, recv_hour, hr))
+    limit = received + F.make_dt_interval(F.lit(0), F.lit(13))
+    taken = _bound(capture_reference(), lambda t: F.coalesce(F.when(t <= limit, t), received))
+    return _bound(taken, lambda t: reference_date(F.date_format(t, "yyyyMMdd"), F.date_format(t, "HH"), hr))
 
 
 def flatten_positions(bronze: DataFrame, data_ref: str | Column | None = None,

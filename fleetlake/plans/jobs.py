@@ -130,8 +130,8 @@ def silver_job(spark: SparkSession, bronze_root: str, silver_path: str,
     assert_schema(documents, BRONZE_WITH_PARTITIONS)
     bad = bad_document()
     seen = Observation("silver_input")
-    observed = documents.observe(seen, F.count(F.lit(1)).alias("documents"), F.count_if(bad).alias("bad"))
-    silver = flatten_positions(observed.where(~bad), document_date())
+    watched = documents.observe(seen, F.count(F.lit(1)).alias("documents"), F.count_if(bad).alias("bad"))
+    silver = flatten_positions(watched.where(~bad), document_date())
     assert_schema(silver, with_hour_column(SILVER))
     if hours is not None:
         silver = silver.where(hours_predicate(hours))

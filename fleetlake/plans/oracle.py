@@ -231,5 +231,46 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM a3
             WHERE {_TS_HOUR} + INTERVAL 1 HOUR
                   <= (SELECT max({_TS_MIN}) FROM a2) - INTERVAL 10 MINUTE"""),
+        # everything lands at last, three days late for some, so only the newest reception decides what is closed
+        "stream_late_wave": _q(f"""
+            SELECT * FROM below
+            WHERE {_TS_HOUR} <= date_trunc('hour', (SELECT max({_TS_MIN} + CASE WHEN substr(hora_ref, 4, 2) = '30' THEN INTERVAL 3 DAY
+                                                                       ELSE INTERVAL 0 DAY END) FROM a2) + INTERVAL 5 MINUTE)
+                                - INTERVAL 2 HOUR"""),
+        "ingest_documents": _q(f"""
+            SELECT CASE WHEN substr(hora_ref, 4, 2) = '45' THEN 'nok' ELSE 'ok' END AS side, data_ref AS recv_date,
+                   substr(hora_ref, 1, 2) AS recv_hour, count(DISTINCT (hora_ref, cod_onibus // 512)) AS documents,
+                   count(*) FILTER (WHERE substr(hora_ref, 4, 2) <> '45') AS positions
+            FROM silver_raw GROUP BY ALL"""),
+        "bad_documents": _q(f"""
+            SELECT data_ref AS recv_date, substr(hora_ref, 1, 2) AS recv_hour,
+                   count(*) FILTER (WHERE substr(hora_ref, 4, 2) <> '50') AS positions,
+                   count(DISTINCT cod_onibus // 512) FILTER (WHERE substr(hora_ref, 4, 2) = '50') AS bad_documents
+            FROM silver_raw GROUP BY ALL"""),
+        "silver_emptied_hour": _q(f"""
+            SELECT {SILVER_COLS} FROM silver WHERE NOT (data_ref = '20240115' AND substr(hora_ref, 1, 2) = '10')"""),
+        "commit_killed_job": _q("""
+            , early AS (SELECT * FROM silver_raw WHERE timestamp_pos < TIMESTAMP '2024-01-15 12:32:00'),
+            b1 AS (SELECT data_ref, hora_ref, substr(hora_ref, 1, 2) AS hora_id_ref, id_linha, max(veiculos) AS q FROM early GROUP BY ALL),
+            b4 AS (SELECT data_ref, hora_ref, hora_id_ref, sum(q) AS q FROM b1 GROUP BY ALL),
+            b3 AS (SELECT CAST(ceil(avg(q)) AS BIGINT) AS q FROM b1 GROUP BY data_ref, hora_id_ref, id_linha),
+            b5 AS (SELECT CAST(ceil(avg(q)) AS BIGINT) AS q FROM b4 GROUP BY data_ref, hora_id_ref)
+            SELECT 'total_onibus_por_linha' AS table_name, count(*) AS n_rows, CAST(sum(q) AS BIGINT) AS qtde_onibus FROM b1
+            UNION ALL SELECT 'total_onibus_geral', count(*), CAST(sum(q) AS BIGINT) FROM b4
+            UNION ALL SELECT 'media_onibus_por_linha', count(*), CAST(sum(q) AS BIGINT) FROM b3
+            UNION ALL SELECT 'media_onibus_geral', count(*), CAST(sum(q) AS BIGINT) FROM b5"""),
+        "key_violations_by_table": _q("""
+            SELECT 'meta_onibus_por_linha' AS table_name, count(*) AS n_keys, 2 * count(*) AS n_rows FROM meta WHERE id_linha = 3
+            UNION ALL SELECT 'linhas_atingida_meta', count(*), 2 * count(*) FROM reached WHERE id_linha = 3
+            UNION ALL SELECT 'linhas_abaixo_meta', count(*), 2 * count(*) FROM below WHERE id_linha = 3
+            UNION ALL SELECT unnest(['total_linhas_atingida_meta', 'total_linhas_abaixo_meta', 'total_onibus_por_linha',
+                                     'total_onibus_geral', 'media_onibus_por_linha', 'media_onibus_geral']), 0, 0"""),
+        "jdbc_target_job": _q("""
+            SELECT h.data_ref, h.hora_id_ref, m.id_linha, m.sentido_linha, m.let_cod_linha, m.let_destino, m.let_origem,
+                   m.meta_qtde_onibus, COALESCE(a.qtde_onibus, 0) AS avg_qtde_onibus
+            FROM (VALUES ('20240115', '10'), ('20240115', '11'), ('20240116', '10')) h(data_ref, hora_id_ref)
+            JOIN meta m ON m.hora_id_ref = h.hora_id_ref
+            LEFT JOIN a3 a ON a.data_ref = h.data_ref AND a.hora_id_ref = h.hora_id_ref AND a.id_linha = m.id_linha
+            WHERE COALESCE(a.qtde_onibus, 0) < m.meta_qtde_onibus"""),
     })
     return sql

@@ -15,11 +15,15 @@ Sort decisions (documented deviations):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import timedelta
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.functions.timeutil import (date_plus_hours, display_text, ref_timestamp, shifted,
+from fleetlake.functions.timeutil import (_as_dt, date_plus_hours, display_text, ref_timestamp, shifted,
                                           time_range_predicate)
+from fleetlake.sinks.versions import newest_hours
+from fleetlake.sources.lake import read_gold
 
 NEW_SHIFT = 3   # newer dashboard: stored local time + 3 h = UTC
 OLD_SHIFT = 0   # older dashboard compares local time with the range directly
@@ -144,3 +148,45 @@ def line_totals_range(total_line: DataFrame, time_from, time_to, shift_hours: in
             .groupBy(F.col("let_cod_linha").alias("linha"), F.col("let_origem").alias("origem"),
                      F.col("let_destino").alias("destino"))
             .agg(F.sum("qtde_onibus").alias("total_onibus")))
+
+
+# ---- panels over stored tables ---------------------------------------------------
+# A panel opens the hours it needs and no others: the manifest (or the folder list)
+# names the hours that hold rows, and the scan gets their folders.
+
+def hours_of_range(time_from, time_to, shift_hours: int):
+    """Predicate on the partition columns for the hours that a time range (P14) can touch."""
+    lo, hi = (_as_dt(t) - timedelta(hours=shift_hours) for t in (time_from, time_to))
+    key = F.concat(F.col("data_ref"), F.col("hora_id_ref"))
+    return key.between(F.lit(lo.strftime("%Y%m%d%H")), F.lit(hi.strftime("%Y%m%d%H")))
+
+
+def stored_range(spark: SparkSession, root: str, table: str, time_from, time_to, shift_hours: int) -> DataFrame:
+    """A table's hours of a time range."""
+    return read_gold(spark, root, table, hours_of_range(time_from, time_to, shift_hours))
+
+
+def stored_newest(spark: SparkSession, root: str, table: str, rows: int, time_from=None, time_to=None,
+                  shift_hours: int = NEW_SHIFT) -> DataFrame:
+    """The newest hours of a table that hold at least ``rows`` result rows, whatever the panel groups by.
+
+    Every hour with rows gives at least one group of its own (each panel's groups
+    contain the time), so the last ``rows`` filled hours are enough.  A range is
+    widened to whole hours here; the panel's own filter cuts it to the minute, which
+    can empty the last hour, so one more is taken."""
+    span = None if time_from is None else hours_of_range(time_from, time_to, shift_hours)
+    hours = newest_hours(spark, root, table, rows + (span is not None), span)
+    keys = [d + h for d, h in hours]
+    return read_gold(spark, root, table, F.concat(F.col("data_ref"), F.col("hora_id_ref")).isin(keys) if keys else F.lit(False))
+
+
+def stored_below_total_last(spark: SparkSession, root: str) -> DataFrame:
+    """Q1 on the stored table: hours are opened newest first, in growing steps, until one holds a count."""
+    step = 1
+    while True:
+        rows = stored_newest(spark, root, "total_linhas_abaixo_meta", step)
+        if not rows.where(F.col("qtde_linhas").isNotNull()).isEmpty():
+            return below_total_last(rows)
+        if len(newest_hours(spark, root, "total_linhas_abaixo_meta", step + 1)) <= step:
+            return below_total_last(rows)      # all hours were opened
+        step *= 24

@@ -21,10 +21,11 @@ from fleetlake.plans.jobs import hours_predicate, silver_job, stats_job, target_
 from fleetlake.schemas import HOUR_PARTITIONS, SILVER_COLUMNS, TABLES
 from fleetlake.session import ensure_conf, scratch_path
 from fleetlake.sinks import jdbc as jdbc_sink
-from fleetlake.sinks.lake import upsert_table, write_hours
+from fleetlake.sinks.lake import route_documents, upsert_table, write_hours
+from fleetlake.sinks.versions import new_run, run_path
 from fleetlake.sources import fixtures
 from fleetlake.sources.bronze import read_bronze, write_bronze
-from fleetlake.sources.jdbc import read_jdbc
+from fleetlake.sources.jdbc import read_jdbc, read_target
 from fleetlake.sources.lake import read_gold, read_silver
 
 # Fixed parameters of the registered queries.
@@ -33,6 +34,7 @@ PARTITION_SPAN = (("20240115", "06"), ("20240115", "17"))
 TIME_FROM, TIME_TO = "2024-01-15 09:00:00", "2024-01-15 21:00:00"   # UTC = 06:00-18:00 local
 UPSERT_TARGET_LAST, UPSERT_STAGE_FIRST = "20240120", "20240115"
 LATE_CUTOFF = "2024-01-15 12:32:00"
+LATE_MINUTE, LATE_DAYS = "30", 3                    # documents of that minute land so many days late
 STREAM_DELAY = "10 minutes"
 STREAM_CHUNKS = (("00000000", "20240116"), ("20240116", "99999999"))
 
@@ -288,69 +290,189 @@ def q_payload_nok(spark, sf):
     return ingest.nok_payloads(_flagged(spark, sf)).select("payload_id", "name", "payload_len")
 
 
+def q_ingest_documents(spark, sf):
+    """I1-I3 end to end: raw files are routed by size, read back as bronze and
+    flattened; one row per side and reception hour."""
+    ensure_conf(spark)
+    drop, landing, nok = (scratch_path(spark, n) for n in ("drop", "landing", "nok"))
+    fixtures.write_raw_documents(spark, sf, drop)
+    route_documents(spark, drop, landing, nok, min_length=fixtures.RAW_MIN)
+    by = ["recv_date", "recv_hour"]
+    docs = read_bronze(spark, landing, multi_line=True)
+    landed = docs.groupBy(*by).agg(F.count(F.lit(1)).alias("documents"))
+    flat = silver_ops.flatten_positions(docs).groupBy(F.col("data_ref").alias("recv_date"), F.col("hora_id_ref").alias("recv_hour")).agg(
+        F.count(F.lit(1)).alias("positions"))
+    ok = landed.join(flat, by).select(F.lit("ok").alias("side"), *by, "documents", "positions")
+    failed = spark.read.text(nok, wholetext=True).select(F.split("slot", "_").alias("slot"))
+    failed = failed.groupBy(F.col("slot")[0].alias("recv_date"), F.col("slot")[1].alias("recv_hour")).agg(F.count(F.lit(1)).alias("documents"))
+    return ok.unionByName(failed.select(F.lit("nok").alias("side"), *by, "documents", F.lit(0).cast("long").alias("positions")))
+
+
+def q_bad_documents(spark, sf):
+    """Documents that do not parse go to quarantine, the rest to silver."""
+    ensure_conf(spark)
+    landing, silver_path = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    fixtures.write_damaged_bronze(spark, sf, landing)
+    silver_job(spark, landing, silver_path)
+    by = ["recv_date", "recv_hour"]
+    good = read_silver(spark, silver_path).groupBy(F.col("data_ref").alias("recv_date"), F.col("hora_id_ref").alias("recv_hour")).agg(
+        F.count(F.lit(1)).alias("positions"))
+    bad = spark.read.parquet(f"{silver_path}_quarantine").where(F.col("source_file").isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("bad_documents"))
+    return good.join(bad, by, "full").na.fill(0, ["positions", "bad_documents"])
+
+
+def q_silver_emptied_hour(spark, sf):
+    """Documents of one hour are withdrawn; a rerun of its day leaves none of its rows."""
+    ensure_conf(spark)
+    bronze, silver_path = fixtures.load_bronze(spark, sf), scratch_path(spark, "silver")
+    before, after = scratch_path(spark, "bronze"), scratch_path(spark, "bronze")
+    write_bronze(bronze, before)
+    silver_job(spark, before, silver_path)
+    day = bronze.where(F.col("recv_date") == ONE_HOUR[0])
+    hours = [(r[0], r[1]) for r in day.select("recv_date", "recv_hour").distinct().collect()]
+    write_bronze(day.where(F.col("recv_hour") != ONE_HOUR[1]), after)
+    silver_job(spark, after, silver_path, hours)
+    return read_silver(spark, silver_path).select(*SILVER_COLUMNS)
+
+
+# ---- one commit for a job's tables ------------------------------------------------
+
+def q_commit_killed_job(spark, sf):
+    """K7: a rerun that ends after writing two of its four tables changes none of them."""
+    silver = _silver(spark, sf)
+    silver_path, gold_root = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    early = silver.where(F.col("timestamp_pos") < ts_literal(LATE_CUTOFF))
+    write_hours(early, silver_path)
+    stats_job(spark, silver_path, gold_root)
+    whole, run = _gold(spark, sf), new_run("stats")
+    for table in ("total_onibus_por_linha", "total_onibus_geral"):  # written, never committed
+        write_hours(whole[table].withColumn("hora_id_ref", F.substring("hora_ref", 1, 2)), run_path(gold_root, table, run))
+    out = None
+    for table in whole:
+        rows = read_gold(spark, gold_root, table).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("qtde_onibus").alias("qtde_onibus"))
+        rows = rows.select(F.lit(table).alias("table_name"), "n_rows", "qtde_onibus")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_key_violations_by_table(spark, sf):
+    """C1 on every table a job writes: violated keys after some target rows were doubled."""
+    meta = fixtures.load_target(spark, _ensure(spark, sf))
+    doubled = meta.unionByName(meta.where(F.col("id_linha") == 3))
+    gold = _gold(spark, sf)
+    tables = {"meta_onibus_por_linha": doubled, **gold, **targets.target_outputs(targets.target_check(doubled, gold["media_onibus_por_linha"]))}
+    out = None
+    for name, df in tables.items():
+        rows = quality.key_violations(df, TABLES[name].keys).agg(F.count(F.lit(1)).alias("n_keys"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
+        rows = rows.select(F.lit(name).alias("table_name"), "n_keys", "n_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_jdbc_target_job(spark, sf):
+    """S5/K4 inside the target job: target hours read over JDBC with the filter pushed
+    down and bounds taken from the table; the committed list replaces its stage table."""
+    url, props = f"jdbc:derby:memory:fleetlake_{uuid.uuid4().hex[:8]};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    gold_root, hours = scratch_path(spark, "gold"), [ONE_HOUR, (ONE_HOUR[0], "11"), ("20240116", "10")]
+    jdbc_sink.write_stage(fixtures.load_target(spark, _ensure(spark, sf)), url, "meta_onibus_por_linha", props)
+    write_hours(_gold(spark, sf)["media_onibus_por_linha"], f"{gold_root}/media_onibus_por_linha")
+    run = target_job(spark, gold_root, read_target(spark, url, "meta_onibus_por_linha", hours, props), hours)
+    names = jdbc_sink.publish_stage(spark, gold_root, run.tables, hours_predicate(hours), url, props)
+    back = read_jdbc(spark, url, names["linhas_abaixo_meta"], props)
+    return back.select(*[F.col(c.upper()).alias(c) for c in TABLES["linhas_abaixo_meta"].columns])
+
+
 # ---- dashboard panels -----------------------------------------------------------
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_gold(spark, sf) -> str:
+    """Root of the gold tables of ``sf``, written by the jobs on first use in a session.
+
+    Panels serve stored tables, as the dashboard does: what a panel costs is its own
+    read, not the jobs before it."""
+    ensure_conf(spark)
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        lake = scratch_path(spark, "lake")
+        write_hours(_silver(spark, sf), f"{lake}/silver")
+        stats_job(spark, f"{lake}/silver", f"{lake}/gold")
+        target_job(spark, f"{lake}/gold", fixtures.load_target(spark, sf))
+        _STORED[key] = f"{lake}/gold"
+    return _STORED[key]
+
+
+def _range(spark, sf, table, shift):
+    return panels.stored_range(spark, stored_gold(spark, sf), table, TIME_FROM, TIME_TO, shift)
+
+
+def _newest(spark, sf, table, rows, shift=None):
+    span = () if shift is None else (TIME_FROM, TIME_TO, shift)
+    return panels.stored_newest(spark, stored_gold(spark, sf), table, rows, *span)
+
+
 def q_panel_below_total(spark, sf):
-    return panels.below_total_last(_facts(spark, sf, "total_linhas_abaixo_meta"))
+    return panels.stored_below_total_last(spark, stored_gold(spark, sf))
 
 
 def q_panel_below_top20(spark, sf):
-    return panels.below_top(_facts(spark, sf, "linhas_abaixo_meta"))
+    return panels.below_top(_newest(spark, sf, "linhas_abaixo_meta", 20))
 
 
 def q_panel_network_last(spark, sf):
-    return panels.network_last(_gold(spark, sf)["total_onibus_geral"])
+    return panels.network_last(_newest(spark, sf, "total_onibus_geral", 1))
 
 
 def q_panel_network_series(spark, sf):
-    return panels.network_series(_gold(spark, sf)["total_onibus_geral"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
+    return panels.network_series(_range(spark, sf, "total_onibus_geral", panels.NEW_SHIFT), TIME_FROM, TIME_TO, panels.NEW_SHIFT)
 
 
 def q_panel_line_last25(spark, sf):
-    return panels.line_totals_top(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
+    return panels.line_totals_top(_newest(spark, sf, "total_onibus_por_linha", 25, panels.NEW_SHIFT), TIME_FROM, TIME_TO, panels.NEW_SHIFT)
 
 
 def q_panel_mean_network_last(spark, sf):
-    return panels.mean_network_last(_gold(spark, sf)["media_onibus_geral"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
+    return panels.mean_network_last(_newest(spark, sf, "media_onibus_geral", 1, panels.NEW_SHIFT), TIME_FROM, TIME_TO, panels.NEW_SHIFT)
 
 
 def q_panel_line_table(spark, sf):
-    return panels.line_table(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
+    return panels.line_table(_range(spark, sf, "total_onibus_por_linha", panels.NEW_SHIFT), TIME_FROM, TIME_TO, panels.NEW_SHIFT)
 
 
 def q_panel_line_table_by_origin(spark, sf):
-    return panels.line_table(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.OLD_SHIFT,
+    return panels.line_table(_range(spark, sf, "total_onibus_por_linha", panels.OLD_SHIFT), TIME_FROM, TIME_TO, panels.OLD_SHIFT,
                              sort_desc=False, sort_by="origem")
 
 
 def q_panel_line_table_total(spark, sf):
-    table = panels.line_table(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
+    table = panels.line_table(_range(spark, sf, "total_onibus_por_linha", panels.NEW_SHIFT), TIME_FROM, TIME_TO, panels.NEW_SHIFT)
     return panels.line_table_grand_total(table)
 
 
 def q_panel_mean_line_last25(spark, sf):
-    return panels.mean_line_top(_gold(spark, sf)["media_onibus_por_linha"], TIME_FROM, TIME_TO, panels.NEW_SHIFT)
+    return panels.mean_line_top(_newest(spark, sf, "media_onibus_por_linha", 25, panels.NEW_SHIFT), TIME_FROM, TIME_TO, panels.NEW_SHIFT)
 
 
 def q_panel_network_series_local(spark, sf):
-    return panels.network_series(_gold(spark, sf)["total_onibus_geral"], TIME_FROM, TIME_TO, panels.OLD_SHIFT)
+    return panels.network_series(_range(spark, sf, "total_onibus_geral", panels.OLD_SHIFT), TIME_FROM, TIME_TO, panels.OLD_SHIFT)
 
 
 def q_panel_mean_network_series(spark, sf):
-    return panels.mean_network_series(_gold(spark, sf)["media_onibus_geral"], TIME_FROM, TIME_TO, panels.OLD_SHIFT)
+    return panels.mean_network_series(_range(spark, sf, "media_onibus_geral", panels.OLD_SHIFT), TIME_FROM, TIME_TO, panels.OLD_SHIFT)
 
 
 def q_panel_mean_line_first25(spark, sf):
-    return panels.mean_line_top(_gold(spark, sf)["media_onibus_por_linha"], TIME_FROM, TIME_TO, panels.OLD_SHIFT,
+    return panels.mean_line_top(_range(spark, sf, "media_onibus_por_linha", panels.OLD_SHIFT), TIME_FROM, TIME_TO, panels.OLD_SHIFT,
                                 newest_first=False)
 
 
 def q_panel_line_last25_local(spark, sf):
-    return panels.line_totals_top(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.OLD_SHIFT)
+    return panels.line_totals_top(_newest(spark, sf, "total_onibus_por_linha", 25, panels.OLD_SHIFT), TIME_FROM, TIME_TO, panels.OLD_SHIFT)
 
 
 def q_panel_line_totals(spark, sf):
-    return panels.line_totals_range(_gold(spark, sf)["total_onibus_por_linha"], TIME_FROM, TIME_TO, panels.OLD_SHIFT)
+    return panels.line_totals_range(_range(spark, sf, "total_onibus_por_linha", panels.OLD_SHIFT), TIME_FROM, TIME_TO, panels.OLD_SHIFT)
 
 
 # ---- streaming ------------------------------------------------------------------
@@ -383,6 +505,20 @@ def q_stream_pipeline(spark, sf):
     return read_gold(spark, f"{lake}/gold", "linhas_abaixo_meta")
 
 
+def q_stream_late_wave(spark, sf):
+    """A wave of documents lands three days late, after their hours were
+    checked; the ledger has their hours rebuilt and checked again."""
+    from fleetlake.streaming.recompute import start_pipeline
+    ensure_conf(spark)
+    bronze = fixtures.load_bronze(spark, sf, recv_delay_minutes=5, late_minute=LATE_MINUTE, late_days=LATE_DAYS)
+    landing, lake, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "lake"), scratch_path(spark, "pipe-ckpt")
+    meta, late = fixtures.load_target(spark, sf), F.substring("hr", 4, 2) == LATE_MINUTE
+    for part in (bronze.where(~late), bronze.where(late)):
+        write_bronze(part, landing, mode="append")
+        start_pipeline(spark, landing, lake, meta, ckpt).awaitTermination()
+    return read_gold(spark, f"{lake}/gold", "linhas_abaixo_meta")
+
+
 def q_stream_hourly_watermark(spark, sf):
     """V7: chained event-time windows in append mode; each run takes the files
     landed since the last run (time-ordered chunks), like a scheduled job."""
@@ -433,6 +569,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "null_key_violations": q_null_key_violations,
         "payload_ok": q_payload_ok,
         "payload_nok": q_payload_nok,
+        "ingest_documents": q_ingest_documents,
+        "bad_documents": q_bad_documents,
+        "silver_emptied_hour": q_silver_emptied_hour,
+        "commit_killed_job": q_commit_killed_job,
+        "key_violations_by_table": q_key_violations_by_table,
+        "jdbc_target_job": q_jdbc_target_job,
         "panel_below_total": q_panel_below_total,
         "panel_below_top20": q_panel_below_top20,
         "panel_network_last": q_panel_network_last,
@@ -451,5 +593,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_hourly_recompute": q_stream_hourly_recompute,
         "stream_hourly_watermark": q_stream_hourly_watermark,
         "stream_pipeline": q_stream_pipeline,
+        "stream_late_wave": q_stream_late_wave,
     })
     return q

@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -170,6 +170,29 @@ def route_payloads(flagged: DataFrame, landing_root: str, quarantine_root: str,
     write_hours(nok.drop(recv_ts), quarantine_root, ("recv_slot",))
 
 
+def route_documents(spark: SparkSession, drop_zone: str, landing_root: str, quarantine_root: str,
+                    min_length: int | None = None) -> dict[str, int]:
+    """I1-I3 on files: OK documents to the landing zone, failed ones to quarantine; returns both counts.
+
+    A document is a file of its own in a folder that carries its name:
+    ``recv_date=yyyyMMdd/recv_hour=HH/document=yyyyMMdd_HH_<id>`` in the landing zone,
+    which ``read_bronze`` and the pipeline stream read (``multi_line``, as a document
+    may span lines), ``slot=yyyyMMdd_HH/document=..`` in quarantine.  A file routed
+    again replaces its own copy.  The counts are observed in the writes.
+    """
+    from fleetlake.operators.ingest import MIN_PAYLOAD, document_name, flag_documents, nok_payloads, ok_payloads, raw_documents
+    flagged = flag_documents(raw_documents(spark, drop_zone), MIN_PAYLOAD if min_length is None else min_length).withColumn("document", document_name())
+    sides = {"ok": (ok_payloads(flagged), landing_root, ("recv_date", "recv_hour", "document")),
+             "nok": (nok_payloads(flagged).withColumn("slot", F.concat_ws("_", "recv_date", "recv_hour")), quarantine_root, ("slot", "document"))}
+    counts = {}
+    for side, (rows, root, by) in sides.items():
+        seen = Observation(f"route_{side}")
+        (rows.observe(seen, F.count(F.lit(1)).alias("n")).select("body", *by).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*by).text(root))
+        counts[side] = seen.get["n"]
+    return counts
+
+
 def mark_done(spark: SparkSession, root: str, job: str, hours: list[tuple[str, str]]) -> None:
     """K7: completion marker rows, appended after every table of the job is written."""
     now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")

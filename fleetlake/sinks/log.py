@@ -8,7 +8,6 @@ and the old files come to the same result, so it may stop at any point.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -47,12 +46,9 @@ class Log:
 
     def read(self) -> DataFrame:
         """All rows; an absent log is empty."""
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not folders(self.spark, self.path):
             return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def files(self) -> list[str]:
         return folders(self.spark, f"{self.path}/*.parquet")

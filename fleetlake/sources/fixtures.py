@@ -99,7 +99,8 @@ def load_silver(spark: SparkSession, sf_dir: str, exact_count: bool = True) -> D
     return silver_rows(ev, exact_count=exact_count)
 
 
-def bronze_documents(events: DataFrame, doc_vehicles: int = DOC_VEHICLES, recv_delay_minutes: int = 0) -> DataFrame:
+def bronze_documents(events: DataFrame, doc_vehicles: int = DOC_VEHICLES, recv_delay_minutes: int = 0,
+                     late_minute: str | None = None, late_days: int = 0) -> DataFrame:
     """Nested snapshot documents ``(recv_date, recv_hour, hr, l[..vs[..]])``.
 
     Built by two bounded ``collect_list`` steps: vehicles per (document, line),
@@ -109,7 +110,8 @@ def bronze_documents(events: DataFrame, doc_vehicles: int = DOC_VEHICLES, recv_d
     may carry the same ``hr``, which the flatten step handles like the API's
     repeated polls.  ``recv_delay_minutes`` lands each document that long after
     its poll, so polls late in an hour are received in the next hour (and polls
-    just before midnight on the next day).
+    just before midnight on the next day).  Polls of ``late_minute`` land another
+    ``late_days`` later.
     """
     rows = _with_line_count(_vehicle_rows(events))
     rows = rows.select("*", *line_labels(),
@@ -126,14 +128,44 @@ def bronze_documents(events: DataFrame, doc_vehicles: int = DOC_VEHICLES, recv_d
     docs = per_line.groupBy("data_ref", "hora_ref", "doc").agg(F.collect_list(line).alias("l"))
     poll = F.to_timestamp_ntz(F.concat_ws(" ", "data_ref", "hora_ref"), F.lit("yyyyMMdd HH:mm"))
     received = poll + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(recv_delay_minutes))
+    if late_minute is not None:
+        received = F.when(F.substring("hora_ref", 4, 2) == late_minute, received + F.make_dt_interval(F.lit(late_days))).otherwise(received)
     return docs.select(F.date_format(received, "yyyyMMdd").alias("recv_date"),
                        F.date_format(received, "HH").alias("recv_hour"),
                        F.col("hora_ref").alias("hr"), "l")
 
 
-def load_bronze(spark: SparkSession, sf_dir: str, recv_delay_minutes: int = 0) -> DataFrame:
+def load_bronze(spark: SparkSession, sf_dir: str, recv_delay_minutes: int = 0, late_minute: str | None = None, late_days: int = 0) -> DataFrame:
     ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    return bronze_documents(ev, recv_delay_minutes=recv_delay_minutes)
+    return bronze_documents(ev, recv_delay_minutes=recv_delay_minutes, late_minute=late_minute, late_days=late_days)
+
+
+# Stand-in raw payloads: what the flow receives is a document's text, or an error text.
+RAW_MIN = 100               # the registered ingestion's minimum; a document has more bytes, the error text fewer
+FAILED_MINUTE = "45"        # polls of this minute answered with an error text
+DAMAGED_MINUTE = "50"       # documents of this minute were cut off on their way
+
+
+def _document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_bronze(spark, sf_dir)
+    return docs.select("recv_date", "recv_hour", "hr", F.to_json(F.struct("hr", "l")).alias("body"))
+
+
+def write_raw_documents(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A drop zone: one file per payload, whose folder carries reception time and id."""
+    raw = _document_texts(spark, sf_dir)
+    body = F.when(F.substring("hr", 4, 2) == FAILED_MINUTE, F.lit('{"Message": "unavailable"}')).otherwise(F.col("body"))
+    stamp = F.concat("recv_date", F.lit("T"), "recv_hour", F.substring("hr", 4, 2), F.lit("00_"), F.sha1("body"))
+    raw.select(body.alias("body"), stamp.alias("raw")).write.partitionBy("raw").text(path)
+
+
+def write_damaged_bronze(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A landing zone, one document per line, some of them cut off in the middle."""
+    raw = _document_texts(spark, sf_dir)
+    cut = F.expr("substring(body, 1, cast(length(body) / 2 as int))")
+    body = F.when(F.substring("hr", 4, 2) == DAMAGED_MINUTE, cut).otherwise(F.col("body"))
+    (raw.select(body.alias("body"), "recv_date", "recv_hour").hint("rebalance", "recv_date", "recv_hour")
+     .write.partitionBy("recv_date", "recv_hour").text(path))
 
 
 def target_table(part: DataFrame) -> DataFrame:
