@@ -45,20 +45,28 @@ def raw_documents(spark: SparkSession, path: str) -> DataFrame:
 
     The size is the file's own (``_metadata.file_size``).  Reception time and id are
     the ones in the path (``20240115T100700_<id>``, as file or folder); where it has
-    none, the file's modification time in the session zone and its name.
+    none, the file's modification time in the session zone (for a file without
+    bytes, the time of the run) and its name.
     """
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
-    where, at = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    full = files.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"),
+                        F.col("_metadata.file_modification_time").alias("at"))
+    # a scan skips files without bytes: their names come from the scan's own listing
+    key = F.regexp_replace("file", "^([a-z0-9]+):/+", "$1:/")
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "file string").withColumn("key", key)
+    empty = listed.join(full.select(key.alias("key")), "key", "left_anti").select(
+        F.lit("").alias("value"), "file", F.lit(0).cast("long").alias("size"), F.current_timestamp().alias("at"))
+    files, where = full.unionByName(empty), F.col("file")
     named = where.rlike(RAW_NAME)
 
     def part(i):
         return F.regexp_extract(where, RAW_NAME, i)
 
     return files.select(
-        F.when(named, part(3)).otherwise(F.regexp_replace(F.col("_metadata.file_name"), r"\.[A-Za-z0-9]+$", "")).alias("payload_id"),
-        F.when(named, part(1)).otherwise(F.date_format(at, "yyyyMMdd")).alias("recv_date"),
-        F.when(named, part(2)).otherwise(F.date_format(at, "HH")).alias("recv_hour"),
-        F.col("_metadata.file_size").alias("payload_len"), F.col("value").alias("body"), where.alias("source_file"))
+        F.when(named, part(3)).otherwise(F.regexp_extract(where, r"([^/]*?)(\.[A-Za-z0-9]+)?$", 1)).alias("payload_id"),
+        F.when(named, part(1)).otherwise(F.date_format("at", "yyyyMMdd")).alias("recv_date"),
+        F.when(named, part(2)).otherwise(F.date_format("at", "HH")).alias("recv_hour"),
+        F.col("size").alias("payload_len"), F.col("value").alias("body"), where.alias("source_file"))
 
 
 def flag_documents(documents: DataFrame, min_length: int = MIN_PAYLOAD) -> DataFrame:
