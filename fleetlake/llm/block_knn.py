@@ -13,7 +13,9 @@ Cases: rows whose vector is null, empty, all zero or holds a null or non-finite
 component, and rows without an id, take no part; vectors meet only vectors of
 the same number of components; a query's own id is no candidate, so neither are
 rows that repeat it; other repeated rows are separate candidates; equal scores
-rank by the smaller id; a query row that occurs twice is asked once.
+rank by the smaller id; a query row that occurs twice is asked once; a bound that
+overflows rules nothing out, a product that overflows ranks as infinite and one that
+is not a number as minus infinity; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -60,25 +62,35 @@ class Block:
         self.heaps: list[list] = [[] for _ in ids]
         self.worst = np.full(len(ids), -np.inf)
 
+    def _bounds(self, a: int, b: int, q: np.ndarray, step: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Approximate products of queries a to b with a tile, and how far off they can be."""
+        near = (self.q[a:b] @ q.T).astype(np.float64) * self.step[a:b, None] * step
+        # |<x,y> - near| <= step_x/2 |y~|_1 + step_y/2 |x|_1
+        slack = 0.5 * self.step[a:b, None] * size + 0.5 * step * self.norm[a:b, None]
+        return near, slack * (1 + 1e-9) + 1e-12 * np.abs(near)
+
     def meet(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         q, step, _ = _quantise(vectors)
         q = q.astype(self.wide)
         size = np.abs(q).sum(axis=1, dtype=np.float64) * step
         for a in range(0, len(self.ids), TILE):
             b = min(a + TILE, len(self.ids))
-            near = (self.q[a:b] @ q.T).astype(np.float64) * self.step[a:b, None] * step
-            # |<x,y> - near| <= step_x/2 |y~|_1 + step_y/2 |x|_1
-            slack = 0.5 * self.step[a:b, None] * size + 0.5 * step * self.norm[a:b, None]
-            slack = slack * (1 + 1e-9) + 1e-12 * np.abs(near)
+            with np.errstate(over="ignore", invalid="ignore"):
+                near, slack = self._bounds(a, b, q, step, size)
             other = self.ids[a:b, None] != ids
             floor = self.worst[a:b]
             if len(ids) > self.k:
-                low = np.where(other, near - slack, -np.inf)
+                with np.errstate(invalid="ignore"):
+                    low = near - slack
+                low = np.where(other & np.isfinite(low), low, -np.inf)
                 floor = np.maximum(floor, np.partition(low, len(ids) - self.k, axis=1)[:, len(ids) - self.k])
-            qi, ci = np.nonzero((near + slack >= floor[:, None]) & other)
-            if not len(qi):
-                continue
-            score = inner(self.x[a + qi], vectors[ci])
+            # a bound beyond the doubles rules nothing out
+            with np.errstate(invalid="ignore", over="ignore"):
+                qi, ci = np.nonzero(~(near + slack < floor[:, None]) & other)
+                if not len(qi):
+                    continue
+                score = inner(self.x[a + qi], vectors[ci])
+            score[np.isnan(score)] = -np.inf
             for i, s, v in zip((a + qi).tolist(), score.tolist(), ids[ci].tolist(), strict=True):
                 heap = self.heaps[i]
                 if len(heap) < self.k:
@@ -143,7 +155,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     per = F.broadcast(per) if per.count() <= 10_000 else per
     queries = (asked.join(per, "dim").withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.col("blocks")).cast("int"))
                .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("dim", "block", "part", F.lit(False).alias("candidate"), "vec_id", "v"))
-    candidates = (sound.join(per, "dim").withColumn("part", F.pmod(F.monotonically_increasing_id() + F.spark_partition_id(), F.col("parts")).cast("int"))
+    candidates = (sound.join(per, "dim").withColumn("part", F.pmod(F.xxhash64("v", "vec_id"), F.col("parts")).cast("int"))
                   .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("dim", "block", "part", F.lit(True).alias("candidate"), "vec_id", "v"))
     met = (queries.unionByName(candidates).repartition("dim", "block", "part").sortWithinPartitions("dim", "block", "part", "candidate")
            .mapInArrow(_search(k), "query_id long, vec_id long, score double"))
