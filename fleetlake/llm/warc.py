@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import table
+from fleetlake.llm.common import cut, table
 from fleetlake.llm.storage import open_input, open_output
 from fleetlake.session import scratch_path
 
@@ -124,7 +124,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = pages.select(page.alias("page_id"), F.col(url_col).cast("string").alias("url"), html.alias("html"),
                         F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"),
                         F.sha1(F.encode(html, "UTF-8")).alias("d1"), F.xxhash64(html).alias("d2"), F.octet_length(html).alias("size"))
-    first = rows.groupBy("d1", "d2", "size").agg(F.min("page_id").alias("first"))
+    # written out, so that the join's sides are plain exchanges: a payload that many pages share is split
+    first = cut(rows.groupBy("d1", "d2", "size").agg(F.min("page_id").alias("first")), "first-pages")
     marked = rows.join(first, ["d1", "d2", "size"])
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     dealt = marked.select("page_id", "url", "html", "captured", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
