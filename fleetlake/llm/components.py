@@ -3,8 +3,9 @@
 Large-star and small-star steps (each one grouped minimum and one join) replace
 every edge by edges to smaller neighbours; the edge count never grows, and every
 round is cut to the shared folder.  A hot node costs only pre-aggregated rows:
-minima are combined before the shuffle, and the joins are ordinary equi-joins
-that adaptive execution may split.  Only the count of changed rows reaches the
+minima are combined before the shuffle, and they are written out before edges are
+joined to them, so that both sides of a join are plain exchanges, whose large
+partitions adaptive execution splits.  Only the count of changed rows reaches the
 driver.
 """
 
@@ -23,10 +24,10 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least neighbour; small: a node and its smaller neighbours go to the least."""
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         moved = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
         moved = (edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))))
     return moved.where("u <> v").distinct()

@@ -232,3 +232,41 @@ def test_queries_match_sql(spark, name):
     want = con.sql(registry.oracle_sql()[name])
     assert got.columns == want.columns
     assert Counter(map(tuple, got.collect())) == Counter(want.fetchall())
+
+
+# earlier operators ----------------------------------------------------------------
+
+def test_neighbours_of_vectors_whose_bounds_overflow(spark):
+    from fleetlake.llm import block_knn
+    rows = [(0, [1e200, 1.0]), (1, [1e120, 2.0]), (2, [-1e120, 3.0]), (3, [1e150, -1.0]), (20, [1.0, 1.0])]
+    got = block_knn.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=20).collect()
+    for q in (0, 20):
+        x = dict(rows)[q]
+        with np.errstate(over="ignore"):
+            want = sorted(((-(x[0] * v[0] + x[1] * v[1]), i) for i, v in rows if i != q))
+        assert [(r["vec_id"], -r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, s) for s, i in want]
+
+
+def test_joins_to_a_hot_key_can_be_split(spark):
+    """Under low thresholds the joins of rows to their group's aggregate are skew joins."""
+    from fleetlake.llm import components, warc
+    from fleetlake.session import scratch_path
+    low = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2", "spark.sql.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.range(1, 60000).select(F.lit(60000).cast("long").alias("u"), F.col("id").alias("v")).unionByName(spark.range(1, 400).select((F.col("id") + 100000).alias("u"), F.col("id").alias("v")))
+        step = components._star(edges.repartition(6), False)
+        step.write.format("noop").mode("overwrite").save()
+        step.collect()
+        assert "skew=true" in step._jdf.queryExecution().executedPlan().toString()
+        found = {r["node"]: r["component"] for r in components.components(edges).collect()}
+        assert len(found) == 60399 and set(found.values()) == {1}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    pages = spark.createDataFrame([(i, "u", "same" if i % 3 else f"own {i}") for i in range(60)], "page_id long, url string, html string")
+    assert warc.write_archives(pages, scratch_path(spark, "w")).agg(F.sum("records")).first()[0] == 60
