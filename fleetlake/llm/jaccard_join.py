@@ -345,14 +345,43 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, id_
                     F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id")))
 
 
+def _named_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with a column ``__llm_node``: the id, or a number of its own for each
+    further text of an id that several different texts share.
+
+    Which texts those are is worked out on ids and hashes alone; there are none as a
+    rule, and the join to them is whatever Spark makes of their size."""
+    keys = cut(row_key(docs).where("id IS NOT NULL").select("id", "k2"), "ids")
+    first = keys.groupBy("id").agg(F.min("k2").alias("first"), F.max("k2").alias("last")).where("first <> last")
+    more = keys.join(cut(first, "shared-ids"), "id").where(F.col("k2") != F.col("first")).select("id", "k2").distinct()
+    lo, hi = keys.agg(F.min("id"), F.max("id")).first()
+    count = F.monotonically_increasing_id()
+    if (hi or 0) < 1 << 61:
+        number = F.lit((hi or 0) + 1) + count
+    elif lo > -(1 << 61):
+        number = F.lit(lo - 1) - count
+    else:
+        raise ValueError("ids leave no numbers free for texts that share one")
+    # written, so that a number is given once
+    extra = cut(more.orderBy("id", "k2").withColumn("__llm_extra", number).withColumnsRenamed({"id": "__llm_id", "k2": "__llm_k2"}), "further-texts")
+    i, t = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    k2 = F.xxhash64(i.isNull(), t.isNull(), t)     # as row_key has it
+    return docs.join(extra, (i == F.col("__llm_id")) & (k2 == F.col("__llm_k2")), "left").withColumn(
+        "__llm_node", F.coalesce("__llm_extra", i)).drop("__llm_id", "__llm_k2", "__llm_extra")
+
+
 def one_per_group(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
-    """The documents with the least id of their group, one row for each id, with all
-    their columns; rows with a null id stay."""
-    groups = jaccard_groups(docs, k, num, den)
+    """One document of each group of linked texts, with all its columns: the least id,
+    or, in a group of further texts of shared ids alone, the least of those.
+
+    Texts that share an id are judged apart, so an unlike one stays; rows equal in id
+    and text are one document; rows with a null id stay; an empty table gives none."""
+    named = _named_apart(docs)
+    groups = jaccard_groups(named, k, num, den, id_col="__llm_node")
     kept = groups.where("component_id = doc_id").select(F.col("doc_id").alias("__llm_kept")).distinct()
-    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("__llm_kept"))
-    order = Window.partitionBy("__llm_kept").orderBy(F.xxhash64("text"))
-    return (named.withColumn("__llm_row", F.row_number().over(order)).where("__llm_row = 1").drop("__llm_row", "__llm_kept")
+    met = named.join(kept, F.col("__llm_node") == F.col("__llm_kept"))
+    order = Window.partitionBy("__llm_node").orderBy(F.xxhash64("text"))
+    return (met.withColumn("__llm_row", F.row_number().over(order)).where("__llm_row = 1").select(*docs.columns)
             .unionByName(docs.where("doc_id IS NULL")))
 
 
