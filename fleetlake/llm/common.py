@@ -8,6 +8,7 @@ space and 0x09-0x0D; a null text is an empty text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,5 +182,28 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+try:
+    _TRIM = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # a C library without it
+    _TRIM = None
+
+
+def give_back() -> None:
+    """Return free memory to the system: a Python worker outlives its task, and what
+    it keeps for later is memory that the tasks beside it cannot use."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def frugal(run):
+    """A batch function that returns free memory before and after its task."""
+    def task(batches):
+        give_back()
+        yield from run(batches)
+        give_back()
+    return task
+
+
 def binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())

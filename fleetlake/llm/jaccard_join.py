@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import LOWER, P1, U64, cut, flat, gram_hashes, mix, row_key, slices, table, word_bounds, word_hashes
+from fleetlake.llm.common import LOWER, P1, U64, cut, flat, frugal, gram_hashes, mix, row_key, slices, table, word_bounds, word_hashes
 from fleetlake.llm.components import components
 
 #: a tile holds at most about so many shingles and sets on each side
@@ -317,12 +317,12 @@ def _placed(members: DataFrame, num: int, den: int, shingles: int, *carry: str)
 def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) per row; links at Jaccard >= num/den."""
     keyed = row_key(docs, id_col, text_col)
-    signed = cut(keyed.select("id", "k2", "text").mapInArrow(_measure(k), "id long, k2 long, n long, digest binary, map binary"), "signed")
+    signed = cut(keyed.select("id", "k2", "text").mapInArrow(frugal(_measure(k)), "id long, k2 long, n long, digest binary, map binary"), "signed")
     sets = signed.where("n > 0 AND id IS NOT NULL")
     classes = cut(sets.groupBy("digest", "n").agg(F.min(F.struct("id", "k2", "map")).alias("m"))
                   .select("digest", "n", F.col("m.id").alias("rep"), F.col("m.k2").alias("k2"), F.col("m.map").alias("map")), "classes")
-    tied = keyed.where("id IS NOT NULL").select("id", "text").mapInArrow(_signature_rows(k, num, den), "sig long, rep long")
-    ties = cut(tied.repartition("sig").sortWithinPartitions("sig", "rep").mapInArrow(_tie, "u long, v long").distinct(), "ties")
+    tied = keyed.where("id IS NOT NULL").select("id", "text").mapInArrow(frugal(_signature_rows(k, num, den)), "sig long, rep long")
+    ties = cut(tied.repartition("sig").sortWithinPartitions("sig", "rep").mapInArrow(frugal(_tie), "u long, v long").distinct(), "ties")
     order = ["cluster", "ta", "tb", "ha", "hb"]
 
     def members(edges: DataFrame, *carry: str) -> DataFrame:
@@ -331,12 +331,12 @@ def jaccard_groups(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, id_
         return cut(found.join(classes.select("rep", "k2", "n", *carry), "rep"), "members")
 
     rough = _placed(members(ties, "map"), num, den, 1 << 62, "n", "map").repartition(*order).sortWithinPartitions(*order, "rep", "k2")
-    possible = cut(rough.select(*order, "rep", "n", "map", "side").mapInArrow(_map_tiles(num, den), "u long, v long").where("u <> v"), "possible")
+    possible = cut(rough.select(*order, "rep", "n", "map", "side").mapInArrow(frugal(_map_tiles(num, den)), "u long, v long").where("u <> v"), "possible")
     texts = keyed.where("id IS NOT NULL").select(F.col("id").alias("rep"), "k2", "text")
     # the placed sets grow with the corpus: never a broadcast side, at any size
     tiles = (_placed(members(possible), num, den, TILE_SHINGLES).hint("merge").join(texts, ["rep", "k2"]).repartition(*order)
              .sortWithinPartitions(*order, "rep", "k2").select(*order, "rep", "k2", "side", "text"))
-    links = tiles.mapInArrow(_tiles(k, num, den), "u long, v long")
+    links = tiles.mapInArrow(frugal(_tiles(k, num, den)), "u long, v long")
     # copies of one set, and rows that share an id, hang on the class's least id
     same = sets.select(F.col("id").alias("u"), "digest", "n").join(classes.select("digest", "n", "rep"), ["digest", "n"]).select("u", F.col("rep").alias("v")).where("u <> v")
     groups = components(links.unionByName(same))
