@@ -18,8 +18,8 @@ always meet in one task and no text is compared with the whole corpus:
    What stays under one key are segments of unequal extent or content.
 4. An index (FM-index or suffix-array levels) over the segments of one key says
    for each window of each distinct segment what holds of it.  A key of more than
-   ``KEY_ROWS`` segments goes to no single task: its distinct segments are split
-   into windows, which are dealt by a 128-bit hash of the window and aggregated.
+   ``KEY_SEGMENTS`` distinct segments (near copies, cut at different edits) is split:
+   the windows of its segments are dealt to the index by longer grams (``decide``).
 5. The answer is joined back to the occurrences and then to the documents.
 
 Every stage covers whole texts; the anchors only remove windows that cannot
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import _BYTE, U64, cut, flat, gram_hashes, mix, runs, slices, sliding_min, word_bounds, word_hashes
+from fleetlake.llm.common import _BYTE, U64, cut, flat, gram_hashes, runs, slices, sliding_min, word_bounds, word_hashes
 
 TOP = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -108,6 +108,35 @@ def _anchor_rows(s: Scheme):
     return run
 
 
+def _pieces(ok: np.ndarray, key: np.ndarray, first: np.ndarray | None, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of consecutive candidates (``ok``) of one key, in pieces of at most ``longest``:
+    first window and the one behind the last.  ``first``: rows, where windows of two of
+    them may lie side by side."""
+    head, tail = ok.copy(), ok.copy()
+    apart = key[1:] != key[:-1]
+    if first is not None:
+        apart[first[(first > 0) & (first < len(key))] - 1] = True
+    head[1:] &= ~ok[:-1] | apart
+    tail[:-1] &= ~ok[1:] | apart
+    lo, hi = np.flatnonzero(head), np.flatnonzero(tail) + 1
+    pieces = -(-(hi - lo) // longest)
+    step = (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * longest
+    lo, hi = np.repeat(lo, pieces) + step, np.repeat(hi, pieces)
+    return lo, np.minimum(hi, lo + longest)
+
+
+def _cut_out(buf: np.ndarray, at: np.ndarray | None, lo: np.ndarray, end: np.ndarray) -> list[bytes]:
+    """The units ``lo..end`` of a buffer, as bytes."""
+    raw = buf.tobytes()
+    if at is None:
+        return [raw[x:y] for x, y in zip(lo.tolist(), end.tolist(), strict=True)]
+    return [raw[x:y] for x, y in zip(at[lo].tolist(), (at[end] - 1).tolist(), strict=True)]
+
+
+def _digests(segs: list[bytes]) -> list[bytes]:
+    return [hashlib.blake2b(x, digest_size=16).digest() for x in segs]
+
+
 def _segment_rows(s: Scheme):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,29 +156,15 @@ def _segment_rows(s: Scheme):
                     continue
                 ok = held[span:] - held[:-span] == span
                 key = sliding_min(m, span)
-                # runs: consecutive candidates of one key, in pieces of bounded length
-                head = ok.copy()
-                head[1:] &= ~ok[:-1] | (key[1:] != key[:-1])
-                tail = ok.copy()
-                tail[:-1] &= ~ok[1:] | (key[1:] != key[:-1])
-                lo, hi = np.flatnonzero(head), np.flatnonzero(tail) + 1
-                pieces = -(-(hi - lo) // s.longest)
+                lo, hi = _pieces(ok, key, None, s.longest)
                 if not len(lo):
                     continue
-                step = (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * s.longest
-                lo, hi = np.repeat(lo, pieces) + step, np.repeat(hi, pieces)
-                hi = np.minimum(hi, lo + s.longest)
                 row = np.searchsorted(first, lo, side="right") - 1
-                raw = buf.tobytes()
-                end = hi + s.length - 1
-                if at is None:
-                    segs = [raw[x:y] for x, y in zip(lo.tolist(), end.tolist(), strict=True)]
-                else:
-                    segs = [raw[x:y] for x, y in zip(at[lo].tolist(), (at[end] - 1).tolist(), strict=True)]
+                segs = _cut_out(buf, at, lo, hi + s.length - 1)
                 take = pa.array(row + a)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("k1").take(take), batch.column("k2").take(take), pa.array((lo - first[row]).astype(np.int32)),
-                     pa.array(key[lo].view(np.int64)), pa.array([hashlib.blake2b(x, digest_size=16).digest() for x in segs], pa.binary()),
+                     pa.array(key[lo].view(np.int64)), pa.array(_digests(segs), pa.binary()),
                      pa.array(segs, pa.binary())], ["k1", "k2", "pos", "key", "digest", "seg"])
     return run
 
@@ -184,13 +199,13 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))],
                                           ["digest", "key", "seg", "lo", "c"])
     for batch in batches:
-        for digest, key, seg, k1 in zip(*(batch.column(c).to_pylist() for c in ("digest", "key", "seg", "k1")), strict=True):
+        for digest, key, seg, lo, c in zip(*(batch.column(x).to_pylist() for x in ("digest", "key", "seg", "lo", "c")), strict=True):
             if (row := held.get(digest)) is None:
-                held[digest] = [key, seg, k1, 1]
+                held[digest] = [key, seg, lo, c]
                 size += len(seg)
             else:
-                row[2] = min(row[2], k1)
-                row[3] += 1
+                row[2] = min(row[2], lo)
+                row[3] += c
         if size > COMBINE_BYTES:
             yield out()
             held, size = {}, 0
@@ -198,73 +213,79 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-#: segments of one key, repeats included, that one task may be dealt
-KEY_ROWS = 8192
+#: distinct segments of one key that go to one index; the windows of a fuller key are
+#: dealt anew by longer grams
+KEY_SEGMENTS = 2048
+DECIDED = "digest binary, answer binary"
 
 
-def _window_rows(s: Scheme):
-    """Every window of each distinct segment, named by two independent hashes."""
+def _finer_rows(s: Scheme, gram: int):
+    """The windows of each segment as segments of their own, keyed by the least
+    ``gram``-unit hash of a window: what agrees in it shares at least ``gram`` units."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offs = flat(batch.column("seg"))
             for a, b in slices(offs, 1 << 17):
-                h, first, _, _ = units(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], s.unit)
-                n = np.diff(first) - s.length + 1
-                row = np.repeat(np.arange(b - a), n)
-                start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                at = first[:-1][row] + start
+                h, first, buf, at = units(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a], s.unit)
+                _, key, inside = _least(h, first, s.length, gram)
+                lo, hi = _pieces(inside[:len(key)], key, first, s.longest)
+                segs, row = _cut_out(buf, at, lo, hi + s.length - 1), np.searchsorted(first, lo, side="right") - 1
                 take = pa.array(row + a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram_hashes(x, s.length)[at].view(np.int64)) for x in (h, mix(h ^ TOP))] +
-                    [batch.column("digest").take(take), pa.array(start.astype(np.int32)), batch.column("lo").take(take), batch.column("c").take(take)],
-                    ["w1", "w2", "digest", "start", "lo", "c"])
+                    [batch.column("digest").take(take), pa.array((lo - first[row]).astype(np.int32)), pa.array(key[lo].view(np.int64)),
+                     pa.array(_digests(segs), pa.binary()), pa.array(segs, pa.binary()), batch.column("lo").take(take), batch.column("c").take(take)],
+                    ["parent", "pos", "key", "digest", "seg", "lo", "c"])
     return run
 
 
-def _window_answers(by_row: bool):
-    """The windows of a segment as the runs that an index gives: (first window,
-    windows, least id), the id 0 where it does not matter."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for held in batch.column("held").to_pylist():
-                x = np.array(sorted((w["start"], w["lo"] if by_row else 0) for w in held), np.int64)
-                new = np.ones(len(x), bool)
-                new[1:] = (np.diff(x[:, 0]) != 1) | (np.diff(x[:, 1]) != 0)
-                edge = np.flatnonzero(new)
-                out.append(np.stack((x[edge, 0], np.diff(np.append(edge, len(x))), x[edge, 1]), axis=1).astype("<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, pa.binary())], ["digest", "answer"])
-    return run
-
-
-def _decide_windows(found: DataFrame, s: Scheme, by_row: bool) -> DataFrame:
-    """Answers of the segments of large keys, without an index: equal windows meet by
-    their hash, and what they bring is combined in each task before the shuffle."""
-    segments = (found.select("digest", "key", "seg", "k1").mapInArrow(_combined, "digest binary, key long, seg binary, lo long, c long")
-                .groupBy("digest").agg(F.first("seg").alias("seg"), F.min("lo").alias("lo"), F.sum("c").alias("c")))
-    windows = cut(segments, "large").mapInArrow(_window_rows(s), "w1 long, w2 long, digest binary, start int, lo long, c long")
-    shared = windows.groupBy("w1", "w2").agg(F.min("lo").alias("lo"), F.sum("c").alias("c")).where("c > 1").select("w1", "w2", "lo")
-    return (windows.select("w1", "w2", "digest", "start").join(shared, ["w1", "w2"])
-            .groupBy("digest").agg(F.collect_list(F.struct("start", "lo")).alias("held"))
-            .mapInArrow(_window_answers(by_row), "digest binary, answer binary"))
+def _joined_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One answer for a segment from those of its parts."""
+    for batch in batches:
+        out = [np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 3) + [p, 0, 0] for p, x in parts]).astype("<i8").tobytes()
+               for parts in span_lists(batch.column("parts"))]
+        yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(out, pa.binary())], ["digest", "answer"])
 
 
-def decide(found: DataFrame, index: Callable, chunk_units: int, s: Scheme, by_row: bool) -> DataFrame:
-    """``index(segs, lo, c, keys)`` -> one answer (bytes) for each distinct segment.
+def decide(found: DataFrame, index: Callable, chunk_units: int, s: Scheme) -> DataFrame:
+    """``index(segs, lo, c, keys)`` -> one answer (bytes) for each distinct segment:
+    int64 triples (first window, windows, value), which start at the segment's first window.
 
     Equal segments are combined in each task and then dealt by key; a task hands
-    whole keys to the index, as many as fit ``chunk_units`` bytes.  Keys of more than
-    ``KEY_ROWS`` segments are decided window by window instead."""
-    large = cut(found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > KEY_ROWS).select("key"), "large-keys")
-    if large.isEmpty():
-        return _decide_keys(found, index, chunk_units)
-    return (_decide_keys(found.join(large, "key", "left_anti"), index, chunk_units)
-            .unionByName(_decide_windows(found.join(large, "key", "left_semi"), s, by_row)))
-
-
-def _decide_keys(found: DataFrame, index: Callable, chunk_units: int) -> DataFrame:
-    dealt = (found.select("digest", "key", "seg", "k1").mapInArrow(_combined, "digest binary, key long, seg binary, lo long, c long")
-             .repartition("key").sortWithinPartitions("key", "digest"))
+    whole keys to the index, as many as fit ``chunk_units`` bytes.  A key of more than
+    ``KEY_SEGMENTS`` distinct segments is split: their windows are dealt anew by the least
+    hash of grams of 7/8 of a window, then of whole windows.  Equal windows still meet, and
+    the index decides them all; under a whole window's key there are only copies of it."""
+    rows = found.select("digest", "key", "seg", F.col("k1").alias("lo"), F.lit(1).cast("long").alias("c"))
+    return _decide(rows, index, chunk_units, s, [max(1, s.length * 7 // 8), s.length])
+
+
+def _decide(rows: DataFrame, index: Callable, chunk_units: int, s: Scheme, grams: list[int]) -> DataFrame:
+    combined = "digest binary, key long, seg binary, lo long, c long"
+    full = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > KEY_SEGMENTS).select("key")
+    full = cut(full, "full-keys")
+    if full.isEmpty():
+        return _decide_keys(rows.mapInArrow(_combined, combined), index, chunk_units)
+    # segments of these keys, repeats gone whatever the number of tasks
+    distinct = cut(rows.join(full, "key", "left_semi").select(*rows.columns).mapInArrow(_combined, combined)
+                   .groupBy("digest").agg(F.first("key").alias("key"), F.first("seg").alias("seg"), F.min("lo").alias("lo"), F.sum("c").alias("c")), "full")
+    rest = rows.join(full, "key", "left_anti").select(*rows.columns).mapInArrow(_combined, combined)
+    if not grams:
+        return _decide_keys(rest.unionByName(distinct), index, chunk_units)
+    crowded = cut(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > KEY_SEGMENTS).select("key"), "crowded-keys")
+    plain = _decide_keys(rest.unionByName(distinct.join(crowded, "key", "left_anti")), index, chunk_units)
+    if crowded.isEmpty():
+        return plain
+    parts = cut(distinct.join(crowded, "key", "left_semi").mapInArrow(
+        _finer_rows(s, grams[0]), "parent binary, pos int, key long, digest binary, seg binary, lo long, c long"), "parts")
+    answers = _decide(parts.select(*rows.columns), index, chunk_units, s, grams[1:])
+    whole = (parts.select("parent", "pos", "digest").join(answers.where("length(answer) > 0"), "digest")
+             .groupBy(F.col("parent").alias("digest")).agg(F.collect_list(F.struct("pos", "answer")).alias("parts"))
+             .mapInArrow(_joined_answers, DECIDED))
+    return plain.unionByName(whole)
+
+
+def _decide_keys(combined: DataFrame, index: Callable, chunk_units: int) -> DataFrame:
+    dealt = combined.repartition("key").sortWithinPartitions("key", "digest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = []
@@ -286,7 +307,7 @@ def _decide_keys(found: DataFrame, index: Callable, chunk_units: int) -> DataFra
                 size += len(row[2])
         if held:
             yield flush()
-    return dealt.mapInArrow(run, "digest binary, answer binary")
+    return dealt.mapInArrow(run, DECIDED)
 
 
 def per_row(found: DataFrame, answers: DataFrame) -> DataFrame:

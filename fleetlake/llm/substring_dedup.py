@@ -97,7 +97,7 @@ def substring_dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", t
     gram = max(1, length // 6)
     scheme = Scheme("word", length, max(gram, length * 4 // 5), gram, 64, 1 << 20)
     found = occurrences(keyed.where("id IS NOT NULL"), scheme, True)
-    spans = per_row(found, decide(found, fm_answers(length, index_words), CHUNK_BYTES, scheme, True))
+    spans = per_row(found, decide(found, fm_answers(length, index_words), CHUNK_BYTES, scheme))
     return keyed.join(spans, ["k1", "k2"], "left").select("id", "k1", "text", "spans").mapInArrow(
         _finish(length), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 

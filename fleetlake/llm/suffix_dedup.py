@@ -209,7 +209,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, keep: str = "none", id_col:
     gram = max(1, min(16, length // 4))
     scheme = Scheme("byte", length, max(gram, length * 9 // 10), gram, 256, 1 << 19)
     found = occurrences(keyed.where("id IS NOT NULL") if first else keyed, scheme, first)
-    spans = per_row(found, decide(found, level_answers(length, batch_bytes, first), batch_bytes, scheme, first))
+    spans = per_row(found, decide(found, level_answers(length, batch_bytes, first), batch_bytes, scheme))
     if carry:
         keyed = row_key(docs, id_col, text_col, carry=True)
     schema = [("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()),

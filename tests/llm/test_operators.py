@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,7 +184,7 @@ def test_no_task_gathers_a_large_key(spark, monkeypatch, module, make, keep):
             return index(segs, lo, c, keys)
         return run
     monkeypatch.setattr(module, make, bounded)
-    monkeypatch.setattr(dup_windows, "KEY_ROWS", 6, raising=False)
+    monkeypatch.setattr(dup_windows, "KEY_SEGMENTS", 6)
     texts = near_copies()
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     if module is substring_dedup:
@@ -194,6 +195,28 @@ def test_no_task_gathers_a_large_key(spark, monkeypatch, module, make, keep):
         assert sorted(map(tuple, got.collect()), key=key) == bytes_kept(texts, 40, keep == "first")
 
 
+@pytest.mark.parametrize("unit", ["word", "byte"])
+def test_finer_segments_hold_every_window_once(unit):
+    """Parts of a segment partition its windows, and equal windows have equal keys."""
+    length = 8 if unit == "word" else 40
+    scheme = dup_windows.Scheme(unit, length, length - 2, 3, 5, 1 << 20)
+    segs = [t.encode() for _, t in near_copies()[-9:] if t] + [b"ab " * 50 + b"ab"]
+    split = (lambda x: x.split(b" ")) if unit == "word" else (lambda x: list(x))
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i).encode() for i in range(len(segs))], pa.binary()), pa.array(segs, pa.binary()),
+                                        pa.array(range(len(segs)), pa.int64()), pa.array([1] * len(segs), pa.int64())], ["digest", "seg", "lo", "c"])
+    for gram in (length * 7 // 8, length):
+        seen, keys = [], {}
+        for r in (r for b in dup_windows._finer_rows(scheme, gram)(iter([batch])) for r in b.to_pylist()):
+            units = split(r["seg"])
+            own = int(r["parent"])
+            assert units == split(segs[own])[r["pos"]:r["pos"] + len(units)] and r["lo"] == own and len(units) - length < 5
+            for j in range(len(units) - length + 1):
+                seen.append((own, r["pos"] + j))
+                keys.setdefault(tuple(units[j:j + length]), set()).add(r["key"])
+        assert sorted(seen) == [(i, j) for i, x in enumerate(segs) for j in range(len(split(x)) - length + 1)]
+        assert all(len(k) == 1 for k in keys.values())
+
+
 def test_without_repeats_keeps_columns(docs):
     out = suffix_dedup.without_repeats(docs)
     assert out.columns == docs.columns
