@@ -4,9 +4,10 @@ Index: items are documents, their distinct words are terms, and a posting holds
 the term's BM25 impact divided by the item's own total, so that 1 is the score
 of an item's own words.  Items lie in blocks of ``BLOCK_ITEMS``, ordered by
 length; the index keeps each term's largest impact over all items and over each
-block.  Items are split into shards of bounded bytes; the shards that fit
-``BROADCAST_BYTES`` together travel to the tasks in one pass over the corpus,
-and a larger benchmark takes more passes.
+block that holds it.  Shards have at most ``SHARD_ITEMS`` items and close at
+``SHARD_WORDS`` words; the shards that fit ``BROADCAST_BYTES`` together (one at least)
+travel to the tasks in one pass over the corpus.  A larger benchmark takes more passes,
+one after the other: a pass's result is written before the next one's shards are read.
 
 Query: every document is cut into overlapping passages, three times as long as
 the shard's longest item, one item length apart, so that a copy spread over up to
@@ -14,15 +15,17 @@ twice its item's words lies whole in some passage.  Block-max WAND, for many
 passages at once: the sum of a passage's term maxima must reach the threshold,
 then the sum of its block maxima, and only the blocks that remain are scored item
 by item.  All items at or above the threshold are retrieved, no top-k.  Each item
-has its own threshold, the least score that 0.8 of its shingles leave it
-(``_floor``), so that retrieval loses no hit; postings are divided by it.
-
-Verification: the retrieved item's five-word shingles are looked up in the
-passage.  A hit needs 0.8 of the whole item's shingles and nothing else; the
-shares of the question's and the answer's are reported with it.  The answer is
-the last sentence, or the last third of an item of one sentence, and one of fewer
-than ten words is compared by single words (a mark stuck to its last word must
-not hide it).  Words are runs of non-space bytes, A-Z lower-cased.
+has its own threshold, the least score that a hit leaves it (``_floor``), so that
+retrieval loses none; postings are divided by it.
+
+Verification: the five-word shingles of the retrieved item, its question and its
+answer are looked up in the passage.  A hit holds 0.8 of the question's and 0.8 of
+the answer's, wherever in the passage the two stand, or 0.8 of the whole item's,
+which run across the seam (a question that is small beside its answer may then be
+missing, or the other way round).  The answer is the last sentence, or the last third
+of an item of one sentence, and one of fewer than ten words is compared by single
+words (a mark stuck to its last word must not hide it).  Words are runs of non-space
+bytes, A-Z lower-cased.
 
 Cases: null or wordless items are not indexed; null texts have no passages; an
 item or part of fewer than five words is one shingle, its whole sequence;
@@ -46,18 +49,21 @@ from fleetlake.llm.common import LOWER, cut, flat, gram_hashes, slices, table, w
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 16
 SHARD_ITEMS = 512
+SHARD_WORDS = 1 << 18
 BROADCAST_BYTES = 64 << 20
 PASSAGE = 3
 SHINGLE = 5
+ENOUGH = 0.8
+INDEX = "shard int, at long, blob binary"
 HITS = "doc_id long, item_id long, bm25 double, overlap double, question_overlap double, answer_overlap double"
 
 
 def split_item(text: str) -> tuple[str, str]:
     """(question, answer)."""
-    parts = [x for x in re.split(r"(?<=[.!?])\s+", text.strip()) if x]
+    parts = [x for x in re.split(r"(?<=[.!?])[\x20\x09-\x0D]+", text.strip(" \t\n\v\f\r")) if x]
     if len(parts) > 1:
         return " ".join(parts[:-1]), parts[-1]
-    words = text.split()
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
     cut = max(1, len(words) - max(1, len(words) // 3))
     return " ".join(words[:cut]), " ".join(words[cut:])
 
@@ -68,22 +74,31 @@ def _words(text: str) -> np.ndarray:
     return word_hashes(raw, starts, ends)
 
 
-def _floor(words: np.ndarray, weight: np.ndarray) -> float:
-    """The least part of an item's score that a text with 0.8 of its shingles has.
-    ``weight``: of the distinct words in order, 1 in all.
+def _lost(words: np.ndarray, k: int, vocab: np.ndarray, weight: np.ndarray) -> float:
+    """The most that the words of a part can weigh of which a text lacks every shingle of
+    ``k`` words, if it holds ``ENOUGH`` of the part's shingles.  ``weight``: of ``vocab``.
 
     A word can be missing only if all shingles that hold it are, and each missing
     shingle counts for at most ``k`` words; so what the missing words weigh is at
     most what a fractional knapsack of ``k`` times the spare shingles takes."""
-    k = min(len(words), SHINGLE)
-    _, term = np.unique(words, return_inverse=True)
+    if not len(words):
+        return 0.0
+    own, term = np.unique(words, return_inverse=True)
     sets, gram = np.unique(gram_hashes(words, k), return_inverse=True)
     at = np.arange(len(gram))[:, None] + np.arange(k)
     held = np.unique(term[at] * len(sets) + gram[:, None])
-    cost = np.bincount(held // len(sets), minlength=len(weight))
-    order = np.argsort(-weight / cost, kind="stable")
-    lost = np.interp(k * (len(sets) // 5), np.append(0, np.cumsum(cost[order])), np.append(0, np.cumsum(weight[order])))
-    return max(1 - lost, float(weight.min())) * (1 - 1e-4)  # postings are of single precision
+    cost = np.bincount(held // len(sets), minlength=len(own))
+    worth = weight[np.searchsorted(vocab, own)]
+    order = np.argsort(-worth / cost, kind="stable")
+    return float(np.interp(k * (len(sets) // 5), np.append(0, np.cumsum(cost[order])), np.append(0, np.cumsum(worth[order]))))
+
+
+def _floor(words: np.ndarray, question: np.ndarray, answer: np.ndarray, vocab: np.ndarray, weight: np.ndarray) -> float:
+    """The least part of an item's score that a hit has.  ``weight``: of the item's
+    distinct words ``vocab``, 1 in all."""
+    whole = _lost(words, _shingle("whole", len(words)), vocab, weight)
+    parts = sum(_lost(x, _shingle(name, len(x)), vocab, weight) for name, x in (("question", question), ("answer", answer)))
+    return max(1 - max(whole, parts), float(weight.min())) * (1 - 1e-4)  # postings are of single precision
 
 
 class Shard:
@@ -98,18 +113,22 @@ class Shard:
     def build(items: list[tuple[int | None, np.ndarray, np.ndarray, np.ndarray]], idf_of, average: float) -> bytes:
         """``items``: (id, words, question words, answer words), ordered by length."""
         vocab = np.unique(np.concatenate([w for _, w, _, _ in items]))
-        impact = np.zeros((len(items), len(vocab)), np.float32)
-        floor = np.zeros(len(items))
-        for i, (_, w, _, _) in enumerate(items):
-            term, tf = np.unique(w, return_counts=True)
-            weight = idf_of(term) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / average))
+        floor, terms, weights = np.zeros(len(items)), [], []
+        for i, (_, w, question, answer) in enumerate(items):
+            own, tf = np.unique(w, return_counts=True)
+            weight = idf_of(own) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / average))
             weight = weight / weight.sum()
-            floor[i] = _floor(w, weight)
-            impact[i, np.searchsorted(vocab, term)] = weight / floor[i]
+            floor[i] = _floor(w, question, answer, own, weight)
+            terms.append(np.searchsorted(vocab, own))
+            weights.append((weight / floor[i]).astype(np.float32))
         at = np.arange(0, len(items) + BLOCK_ITEMS, BLOCK_ITEMS).clip(max=len(items))
         at = at[: np.searchsorted(at, len(items)) + 1]
-        doc, term = np.nonzero(impact)
+        doc, term = np.repeat(np.arange(len(items)), [len(x) for x in terms]), np.concatenate(terms)
         order = np.lexsort((doc, term))
+        doc, term, impact = doc[order], term[order], np.concatenate(weights)[order]
+        post_at = np.searchsorted(term, np.arange(len(vocab) + 1))
+        # a term's blocks lie side by side, as its items do
+        cell = np.flatnonzero(np.diff(term * len(items) + doc // BLOCK_ITEMS, prepend=-1))
         shingles = {}
         for name, k in (("whole", 1), ("question", 2), ("answer", 3)):
             size = [_shingle(name, len(x[k])) for x in items]
@@ -120,8 +139,9 @@ class Shard:
         out = io.BytesIO()
         np.savez(out, ids=np.array([-1 if x[0] is None else x[0] for x in items], np.int64), no_id=np.array([x[0] is None for x in items]),
                  vocab=vocab, floor=floor, length=max(len(x[1]) for x in items), block_at=at,
-                 post_at=np.searchsorted(term[order], np.arange(len(vocab) + 1)), post_item=doc[order], post_weight=impact[doc, term][order],
-                 term_max=impact.max(axis=0), block_max=np.maximum.reduceat(impact, at[:-1], axis=0).T.copy(), **shingles)
+                 post_at=post_at, post_item=doc, post_weight=impact, term_max=np.maximum.reduceat(impact, post_at[:-1]),
+                 cell_at=np.searchsorted(term[cell], np.arange(len(vocab) + 1)), cell_block=doc[cell] // BLOCK_ITEMS,
+                 cell_max=np.maximum.reduceat(impact, cell), **shingles)
         return out.getvalue()
 
     def retrieve(self, words: np.ndarray, doc_first: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -148,9 +168,10 @@ class Shard:
         took = term[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(lo, size)]
         pair = np.unique(passage * len(self.vocab) + took)  # each distinct word once
         passage, took = pair // len(self.vocab), pair % len(self.vocab)
-        at = np.searchsorted(passage, np.arange(len(keep)))
-        bound = np.add.reduceat(self.block_max[took], at, axis=0, dtype=np.float64)
-        which, block = np.nonzero(bound >= 1)
+        blocks = len(self.vocab_blocks)
+        which, entry = _entries(passage, self.cell_at, took)
+        bound = np.bincount(which * blocks + self.cell_block[entry], weights=self.cell_max[entry], minlength=len(keep) * blocks)
+        which, block = np.nonzero(bound.reshape(-1, blocks) >= 1)
         if not len(which):
             return none, none, none, none, np.zeros(0)
         # exact scores of the surviving blocks from the postings
@@ -158,18 +179,22 @@ class Shard:
         slot = np.full(len(keep), -1)
         slot[alive] = np.arange(len(alive))
         some = slot[passage] >= 0
-        passage, took = slot[passage[some]], took[some]
-        posts = self.post_at[took + 1] - self.post_at[took]
-        post = np.arange(posts.sum()) - np.repeat(np.cumsum(posts) - posts, posts) + np.repeat(self.post_at[took], posts)
-        cell = np.repeat(passage, posts) * len(self.ids) + self.post_item[post]
+        passage, post = _entries(slot[passage[some]], self.post_at, took[some])
+        cell = passage * len(self.ids) + self.post_item[post]
         total = np.bincount(cell, weights=self.post_weight[post], minlength=len(alive) * len(self.ids)).reshape(len(alive), -1)
-        live = np.zeros((len(alive), len(self.vocab_blocks)), bool)
+        live = np.zeros((len(alive), blocks), bool)
         live[slot[which], block] = True
         total[~np.repeat(live, np.diff(self.block_at), axis=1)] = 0
         p, item = np.nonzero(total >= 1)
         return start[alive[p]], end[alive[p]], row[alive[p]], item, total[p, item] * self.floor[item]
 
 
+def _entries(passage: np.ndarray, at: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(passage, entry) of every entry of each passage's term in lists that start at ``at``."""
+    n = at[term + 1] - at[term]
+    return np.repeat(passage, n), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(at[term], n)
+
+
 def _shingle(name: str, n: int) -> int:
     """Words of a shingle in a part of ``n`` words."""
     return 1 if name == "answer" and n < 2 * SHINGLE else min(n, SHINGLE)
@@ -209,9 +234,8 @@ class Matcher:
                 for s, e, r, item, total in zip(*(x.tolist() for x in shard.retrieve(words, first)), strict=True):
                     if (s, e) != last:
                         last, grams = (s, e), {}
-                    whole = _overlap(shard, "whole", item, words[s:e], grams)
-                    if whole >= 0.8:
-                        got = (whole, *(_overlap(shard, x, item, words[s:e], grams) for x in ("question", "answer")))
+                    got = tuple(_overlap(shard, x, item, words[s:e], grams) for x in ("whole", "question", "answer"))
+                    if got[0] >= ENOUGH or min(got[1:]) >= ENOUGH:
                         best[r, number, item] = max(best.get((r, number, item), (got, total)), (got, total))
             for (r, number, item), (got, total) in sorted(best.items()):
                 shard = self.shards[number]
@@ -241,8 +265,8 @@ def _clean_rows(match: Matcher, at: int):
 
 
 def build_index(benchmark: DataFrame) -> DataFrame:
-    """The index shards as rows (shard, bytes): items grouped by length, statistics
-    over all items."""
+    """The index shards as rows (partition, number of the item behind the last,
+    bytes): items grouped by length, statistics over all items."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where(F.length(F.trim("text")) > 0)
 
     def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,7 +278,7 @@ def build_index(benchmark: DataFrame) -> DataFrame:
     worded = items.mapInArrow(terms, "item_id long, text string, n long, terms array<long>").where("n > 0")
     total = worded.agg(F.count(F.lit(1)).alias("n"), F.avg("n").alias("mean")).first()
     if not total["n"]:
-        return benchmark.sparkSession.createDataFrame([], "shard int, blob binary")
+        return benchmark.sparkSession.createDataFrame([], INDEX)
     n_items, average = total["n"], total["mean"]
     count = -(-n_items // SHARD_ITEMS)
     frequent = worded.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df"))
@@ -266,43 +290,57 @@ def build_index(benchmark: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [r for batch in batches for r in batch.to_pylist()]
         rows.sort(key=lambda r: (r["n"], r["text"], r["item_id"] is None, r["item_id"] or 0))
-        for a in range(0, len(rows), SHARD_ITEMS):
-            some = rows[a:a + SHARD_ITEMS]
+        at = 0
+        while at < len(rows):
+            words = np.cumsum([r["n"] for r in rows[at:at + SHARD_ITEMS]])
+            some = rows[at:at + max(1, int(np.searchsorted(words, SHARD_WORDS, side="right")))]
+            at += len(some)
             df = {t: d for r in some for t, d in zip(r["t"], r["df"], strict=True)}
             idf = lambda term: np.array([np.log(1 + (n_items - df[t] + 0.5) / (df[t] + 0.5)) for t in term.view(np.int64).tolist()])  # noqa: E731, B023
             made = Shard.build([(r["item_id"], _words(r["text"]), *map(_words, split_item(r["text"]))) for r in some], idf, average)
-            yield pa.RecordBatch.from_arrays([pa.array([some[0]["shard"]], pa.int32()), pa.array([made], pa.binary())], ["shard", "blob"])
-    return dealt.select("item_id", "text", "n", "t", "df", "shard").mapInArrow(build, "shard int, blob binary")
+            yield pa.RecordBatch.from_arrays([pa.array([some[0]["shard"]], pa.int32()), pa.array([at], pa.int64()), pa.array([made], pa.binary())],
+                                             ["shard", "at", "blob"])
+    return dealt.select("item_id", "text", "n", "t", "df", "shard").mapInArrow(build, INDEX)
 
 
-def matchers(benchmark: DataFrame) -> list[Matcher]:
-    """The passes that the index needs, each of at most ``BROADCAST_BYTES``."""
+def passes(benchmark: DataFrame) -> list[DataFrame]:
+    """The shards of each pass that the index needs: at most ``BROADCAST_BYTES`` or one shard."""
     index = cut(build_index(benchmark), "bm25")
-    passes: list[list[int]] = []
+    found: list[list[tuple[int, int]]] = []
     size = 0
-    for r in index.groupBy("shard").agg(F.sum(F.length("blob")).alias("size")).orderBy("shard").collect():
-        if not passes or size + r["size"] > BROADCAST_BYTES:
-            passes.append([])
+    for r in index.select("shard", "at", F.length("blob").alias("size")).orderBy("shard", "at").collect():
+        if not found or size + r["size"] > BROADCAST_BYTES:
+            found.append([])
             size = 0
-        passes[-1].append(r["shard"])
+        found[-1].append((r["shard"], r["at"]))
         size += r["size"]
-    return [Matcher([bytes(r["blob"]) for r in index.where(F.col("shard").isin(shards)).collect()]) for shards in passes]
+    place = F.struct("shard", "at")
+    at = lambda x: F.struct(F.lit(x[0]).alias("shard"), F.lit(x[1]).cast("long").alias("at"))
+    return [index.where(place.between(at(x[0]), at(x[-1]))) for x in found]
+
+
+def matcher(shards: DataFrame) -> Matcher:
+    """One pass's index, through the driver to the tasks."""
+    return Matcher([bytes(r["blob"]) for r in shards.orderBy("shard", "at").collect()])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document and benchmark item that it holds."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     hits = docs.sparkSession.createDataFrame([], HITS)
-    for match in matchers(benchmark):
-        hits = hits.unionByName(rows.mapInArrow(_hit_rows(match), HITS))
+    for shards in passes(benchmark):
+        hits = hits.unionByName(cut(rows.mapInArrow(_hit_rows(matcher(shards)), HITS), "hits"))
     return hits
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that hold no benchmark item, with all their columns; no shuffle."""
-    at = docs.columns.index(text_col)
-    for match in matchers(benchmark):
-        docs = docs.mapInArrow(_clean_rows(match, at), docs.schema)
+    """The documents that hold no benchmark item, with all their columns; no shuffle.
+    What a pass leaves is written for the next one; what the last leaves is not."""
+    at, left = docs.columns.index(text_col), passes(benchmark)
+    for number, shards in enumerate(left, 1):
+        docs = docs.mapInArrow(_clean_rows(matcher(shards), at), docs.schema)
+        if number < len(left):
+            docs = cut(docs, "clean")
     return docs
 
 

@@ -316,15 +316,29 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contaminated(table, bench.limit(0)).count() == 0
 
 
-def share_held(item, text):
-    """Part of the item's five-word shingles that the text holds."""
-    lower = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-    a, b = (x.encode().translate(lower).split() for x in (item, text))
-    k = min(5, len(a))
+def lowered(text):
+    return text.encode().translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))).split()
+
+
+def share_held(a, b, k=5):
+    """Part of the distinct shingles of words ``a`` that words ``b`` hold."""
+    k = min(k, len(a))
     own = {tuple(a[i:i + k]) for i in range(len(a) - k + 1)}
     return len(own & {tuple(b[i:i + k]) for i in range(len(b) - k + 1)}) / len(own)
 
 
+def is_hit(item, text, longest):
+    """Some passage of ``text`` holds 0.8 of the item, or of its question and of its answer."""
+    a, b = lowered(item), lowered(text)
+    question, answer = map(lowered, decontaminate.split_item(item))
+    assert question + answer == a
+    for start in range(0, max(1, -(-len(b) // longest) - 2) * longest, longest):
+        some = b[start:start + 3 * longest]
+        if share_held(a, some) >= 0.8 or share_held(question, some) >= 0.8 and (not answer or share_held(answer, some, 5 if len(answer) > 9 else 1) >= 0.8):
+            return True
+    return False
+
+
 def test_decontamination_of_one_word_edits(spark):
     bench = spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet")
     items = {r["item_id"]: r["text"] for r in bench.collect()}
@@ -334,7 +348,8 @@ def test_decontamination_of_one_word_edits(spark):
         for i in range(len(w)):
             edits += [(item, w[:i] + ["changed"] + w[i + 1:]), (item, w[:i] + w[i + 1:]), (item, w[:i] + ["put", "in"] + w[i:])]
     edits = [(n, item, pad[:n % 500] + " " + " ".join(w) + " " + pad) for n, (item, w) in enumerate(edits)]
-    want = {(n, item) for n, item, text in edits if share_held(items[item], text) >= 0.8}
+    longest = max(len(x.split()) for x in items.values())
+    want = {(n, item) for n, item, text in edits if is_hit(items[item], text, longest)}
     table = spark.createDataFrame([(n, text) for n, _, text in edits], "doc_id long, text string").repartition(4)
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, bench).collect()}
     assert len(want) > 15000 and got == want
@@ -348,7 +363,8 @@ def test_decontamination_of_every_item_and_document(spark):
         item, w = items[n], items[n].split()
         w[n * 7 % len(w)] = "changed"
         texts[n] = (i, t[:3000] + " " + " ".join(w) + " " + t[3000:])
-    want = {(i, item) for i, t in texts for item, x in items.items() if share_held(x, t) >= 0.8}
+    longest = max(len(x.split()) for x in items.values())
+    want = {(i, item) for i, t in texts for item, x in items.items() if is_hit(x, t, longest)}
     table = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
     got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, bench).collect()}
     left = {r["doc_id"] for r in decontaminate.decontaminate(table, bench).collect()}
@@ -360,11 +376,54 @@ def test_decontamination_without_the_rare_words(spark):
     items = [f"{common} " + " ".join(f"r{j}x{i}" for i in range(10)) for j in range(30)]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     table = spark.createDataFrame([(j, "x " * j + " ".join(t.split()[:-9]) + " y" * 99) for j, t in enumerate(items)], "doc_id long, text string")
-    assert {share_held(t, " ".join(t.split()[:-9])) for t in items} == {37 / 46}
+    assert {share_held(t.split(), t.split()[:-9]) for t in items} == {37 / 46}
     got = sorted((r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(table, bench).collect())
     assert got == [(j, j) for j in range(30)]
 
 
+def test_question_and_answer_apart_are_a_hit(spark):
+    """Both parts stand in the passage with other words between them; neither alone is a hit."""
+    r = random.Random(8)
+    word = lambda: f"q{r.randint(0, 400)}"
+    items = [" ".join(word() for _ in range(r.randint(6, 20))) + "? " + " ".join(f"a{r.randint(0, 90)}" for _ in range(r.randint(1, 14))) + "." for _ in range(60)]
+    items += ["What\u00a0is? It\u00a0is.\u00a0So it is, and so it stays.", "one"]
+    longest = max(len(x.split()) for x in items)
+    texts = []
+    for i, item in enumerate(items):
+        question, answer = decontaminate.split_item(item)
+        texts += [f"{question} so they say {answer}", answer + " pad " * (i % 9) + question, question, answer, question + " pad" * (4 * longest) + " " + answer]
+        w = question.split()
+        w[i % len(w)] = "edit"
+        texts.append(" ".join(w) + " or rather " + answer)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = {(i, j) for i, t in enumerate(texts) for j, x in enumerate(items) if is_hit(x, t, longest)}
+    whole = {(i, j) for i, j in want if share_held(lowered(items[j]), lowered(texts[i])) >= 0.8}
+    assert {(r[0], r[1]) for r in decontaminate.contaminated(table, bench).collect()} == want and len(want - whole) > 60
+    assert {r[0] for r in decontaminate.decontaminate(table, bench).collect()} == set(range(len(texts))) - {i for i, _ in want}
+
+
+def test_decontamination_in_passes(spark, monkeypatch):
+    """A small budget takes many passes: one is held at a time, and hits do not change."""
+    bench, docs = (spark.read.parquet(f"/root/testdata/sf0.01/{x}.parquet") for x in ("benchmark", "documents"))
+    docs = docs.withColumn("shard", F.lit(1)).withColumn("at", F.lit("x"))
+    once = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    log, gather, write = [], decontaminate.matcher, decontaminate.cut
+    monkeypatch.setattr(decontaminate, "matcher", lambda shards: log.append("read") or gather(shards))
+    monkeypatch.setattr(decontaminate, "cut", lambda df, name: log.append(name) or write(df, name))
+    monkeypatch.setattr(decontaminate, "SHARD_WORDS", 300)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 100)
+    got = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    # items of other lengths stand together, so passages and scores' windows differ; the pairs do not
+    assert once and [x[:2] for x in got] == [x[:2] for x in once]
+    assert log[0] == "bm25" and len(log) > 6 and log[1:] == ["read", "hits"] * (len(log) // 2)
+    log.clear()
+    left = decontaminate.decontaminate(docs, bench)
+    assert log[0] == "bm25" and log[1:] == (["read", "clean"] * len(log))[:len(log) - 1] and log[-1] == "read"
+    assert left.columns == docs.columns
+    assert sorted(r["doc_id"] for r in left.select("doc_id").collect()) == sorted(r["doc_id"] for r in docs.select("doc_id").collect() if r["doc_id"] not in {x[0] for x in once})
+
+
 def test_preference_pairs(spark):
     turns = [(0, 0, "user", "hi"), (0, 1, "assistant", "yes"), (1, 0, "user", "hi"), (1, 1, "assistant", "no"), (1, 2, "user", None), (2, 0, None, "alone"),
              (4, 0, "user", "a"), (5, 0, "user", "a"), (None, 0, "user", "x")]
