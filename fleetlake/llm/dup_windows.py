@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import _BYTE, U64, cut, flat, gram_hashes, runs, slices, sliding_min, word_bounds, word_hashes
+from fleetlake.llm.common import _BYTE, U64, cut, flat, frugal, gram_hashes, runs, slices, sliding_min, word_bounds, word_hashes
 
 TOP = U64(0xFFFFFFFFFFFFFFFF)
 
@@ -175,13 +175,13 @@ OCCURRENCES = "k1 long, k2 long, pos int, key long, digest binary, seg binary"
 def occurrences(keyed: DataFrame, s: Scheme, by_row: bool) -> DataFrame:
     """Candidate segments of every row.  An anchor is kept if it occurs under two
     values of k1 (``by_row``), else if it occurs twice."""
-    anchors = cut(keyed.select("k1", "k2", "text").mapInArrow(_anchor_rows(s), "h long, k1 long, k2 long, c int"), "anchors")
+    anchors = cut(keyed.select("k1", "k2", "text").mapInArrow(frugal(_anchor_rows(s)), "h long, k1 long, k2 long, c int"), "anchors")
     if by_row:
         kept = anchors.groupBy("h").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).where("lo <> hi").select("h")
     else:
         kept = anchors.groupBy("h").agg(F.sum("c").alias("c")).where("c > 1").select("h")
     hashes = anchors.select("h", "k1", "k2").join(kept, "h").groupBy("k1", "k2").agg(F.collect_set("h").alias("hashes"))
-    found = keyed.select("k1", "k2", "text").join(hashes, ["k1", "k2"]).mapInArrow(_segment_rows(s), OCCURRENCES)
+    found = keyed.select("k1", "k2", "text").join(hashes, ["k1", "k2"]).mapInArrow(frugal(_segment_rows(s)), OCCURRENCES)
     return cut(found, "segments")
 
 
@@ -264,11 +264,11 @@ def _decide(rows: DataFrame, index: Callable, chunk_units: int, s: Scheme, grams
     full = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > KEY_SEGMENTS).select("key")
     full = cut(full, "full-keys")
     if full.isEmpty():
-        return _decide_keys(rows.mapInArrow(_combined, combined), index, chunk_units)
+        return _decide_keys(rows.mapInArrow(frugal(_combined), combined), index, chunk_units)
     # segments of these keys, repeats gone whatever the number of tasks
-    distinct = cut(rows.join(full, "key", "left_semi").select(*rows.columns).mapInArrow(_combined, combined)
+    distinct = cut(rows.join(full, "key", "left_semi").select(*rows.columns).mapInArrow(frugal(_combined), combined)
                    .groupBy("digest").agg(F.first("key").alias("key"), F.first("seg").alias("seg"), F.min("lo").alias("lo"), F.sum("c").alias("c")), "full")
-    rest = rows.join(full, "key", "left_anti").select(*rows.columns).mapInArrow(_combined, combined)
+    rest = rows.join(full, "key", "left_anti").select(*rows.columns).mapInArrow(frugal(_combined), combined)
     if not grams:
         return _decide_keys(rest.unionByName(distinct), index, chunk_units)
     crowded = cut(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > KEY_SEGMENTS).select("key"), "crowded-keys")
@@ -276,7 +276,7 @@ def _decide(rows: DataFrame, index: Callable, chunk_units: int, s: Scheme, grams
     if crowded.isEmpty():
         return plain
     parts = cut(distinct.join(crowded, "key", "left_semi").mapInArrow(
-        _finer_rows(s, grams[0]), "parent binary, pos int, key long, digest binary, seg binary, lo long, c long"), "parts")
+        frugal(_finer_rows(s, grams[0])), "parent binary, pos int, key long, digest binary, seg binary, lo long, c long"), "parts")
     answers = _decide(parts.select(*rows.columns), index, chunk_units, s, grams[1:])
     whole = (parts.select("parent", "pos", "digest").join(answers.where("length(answer) > 0"), "digest")
              .groupBy(F.col("parent").alias("digest")).agg(F.collect_list(F.struct("pos", "answer")).alias("parts"))
@@ -307,7 +307,7 @@ def _decide_keys(combined: DataFrame, index: Callable, chunk_units: int) -> Data
                 size += len(row[2])
         if held:
             yield flush()
-    return dealt.mapInArrow(run, DECIDED)
+    return dealt.mapInArrow(frugal(run), DECIDED)
 
 
 def per_row(found: DataFrame, answers: DataFrame) -> DataFrame:

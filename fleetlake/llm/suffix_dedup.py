@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetlake.llm.common import flat, row_key, runs, table
+from fleetlake.llm.common import flat, frugal, row_key, runs, table
 from fleetlake.llm.dup_windows import Scheme, covered, decide, occurrences, per_row, span_lists
 
 BATCH_BYTES = 1 << 17
@@ -214,7 +214,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, keep: str = "none", id_col:
         keyed = row_key(docs, id_col, text_col, carry=True)
     schema = [("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("n_spans", T.LongType()), ("kept_sha256", T.StringType()),
               ("kept", T.BinaryType()), *([("kept_text", T.StringType()), ("row", docs.schema)] if carry else [])]
-    return keyed.join(spans, ["k1", "k2"], "left").drop("k2").mapInArrow(_finish(length, first, carry), T.StructType([T.StructField(*x) for x in schema]))
+    return keyed.join(spans, ["k1", "k2"], "left").drop("k2").mapInArrow(frugal(_finish(length, first, carry)), T.StructType([T.StructField(*x) for x in schema]))
 
 
 def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
