@@ -19,7 +19,8 @@ probability of label 1.
 
 Cases: null and empty texts have the zero vector and get its score; a null id is
 never labelled and not held out; documents labelled twice count as 1 if half
-their labels are 1; null labels are ignored; with labels of fewer than two kinds
+their labels are 1; of rows that share a labelled id the network is fitted on the one
+whose text has the least hash, and all are scored; null labels are ignored; with labels of fewer than two kinds
 the score is that label's share (0.5 without labels).  No column but the text
 enters a score.
 """
@@ -224,8 +225,8 @@ def _feature_rows(pooling: Pooling):
             data, offs = flat(batch.column("text"))
             for a, b in slices(offs, 1 << 19):
                 x = pooling.features(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
-                yield pa.RecordBatch.from_arrays([batch.column("y").slice(a, b - a), batch.column("part").slice(a, b - a),
-                                                  pa.array([v.tobytes() for v in x], pa.binary())], ["y", "part", "x"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, b - a) for c in ("doc_id", "h", "y", "part")),
+                                                  pa.array([v.tobytes() for v in x], pa.binary())], ["doc_id", "h", "y", "part", "x"])
     return run
 
 
@@ -237,8 +238,10 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", bound: i
              .where(part != 0).groupBy("doc_id").agg(F.when(F.avg("y") >= 0.5, 1).otherwise(0).alias("y")))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)  # at most ``bound`` rows of two numbers
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-            .select("text", "y", part.cast("int").alias("part")).mapInArrow(_feature_rows(pooling), "y int, part int, x binary"))
-    got = rows.limit(4 * bound).collect()  # an id held by many rows stays bounded here
+            .select("doc_id", F.xxhash64("text").alias("h"), "text", "y", part.cast("int").alias("part"))
+            .mapInArrow(_feature_rows(pooling), "doc_id long, h long, y int, part int, x binary"))
+    # an id held by many rows is one of them, chosen by its text; combined in the tasks
+    got = rows.groupBy("doc_id").agg(F.min_by(F.struct("y", "part", "x"), "h").alias("row")).select("row.*").collect()
     if not got:
         return pooling, Constant(0.5)
     y = np.array([r["y"] for r in got])

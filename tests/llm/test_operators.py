@@ -4,6 +4,7 @@ texts, ties, repeated rows, clashing column names and no rows at all."""
 import base64
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -490,3 +491,46 @@ def test_quality_learns_and_handles_cases(spark, docs, none):
     assert quality.accepted(docs, labels).columns == docs.columns
     assert quality.accepted(docs, labels.limit(0)).count() == docs.count()  # no labels: 0.5
     assert quality.accepted(none, labels).count() == 0
+
+
+def test_quality_against_brute_force(spark, docs):
+    """Co-occurrence sums, pooling and score, token by token; the fit whatever the partitions."""
+    where, sign = quality.index_vectors()
+
+    def buckets(text):
+        found = re.findall(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff\x20\x09-\x0d]+", (text or "").encode())
+        return [int(quality.word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0] % np.uint64(quality.BUCKETS)) for w in found]
+
+    texts = [x["text"] for x in docs.collect()]
+    sums, seen = np.zeros((quality.BUCKETS, quality.DIM)), np.zeros(quality.BUCKETS)
+    for own in map(buckets, texts):
+        for i, b in enumerate(own):
+            seen[b] += 1
+            for j in {i - 2, i - 1, i + 1, i + 2} & set(range(len(own))):
+                for e in range(quality.ENTRIES):
+                    sums[b, where[own[j], e]] += sign[own[j], e]
+    sums -= np.outer(seen, sums.sum(axis=0) / seen.sum())
+    length = np.linalg.norm(sums, axis=1)
+    words = sums / np.where(length > 0, length, 1)[:, None]
+    vectors, counts = quality.word_vectors(docs.select("text"))
+    assert np.array_equal(counts, seen) and np.allclose(vectors, words, atol=1e-5)
+
+    labels = docs.where("doc_id IS NOT NULL").select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    pooling, network = quality.fit(docs, labels)
+    weight = 1e-3 / (1e-3 + seen / seen.sum())
+    wanted = {}
+    for text in texts:
+        own, x = buckets(text), np.zeros(quality.FEATURES)
+        if own:
+            for k, some in enumerate((own, sorted(set(own)))):
+                x[k * quality.DIM:(k + 1) * quality.DIM] = sum(weight[b] * words[b] for b in some) / sum(weight[b] for b in some)
+            x[-2:] = np.log1p(len(own)), len(set(own)) / len(own)
+        hidden = [max(0.0, float(((x - network.mean) / network.scale) @ network.w1[:, k] + network.b1[k])) for k in range(quality.HIDDEN)]
+        z = (sum(h * w for h, w in zip(hidden, network.w2, strict=True)) + network.b2) / network.temperature
+        wanted[text] = 1 / (1 + np.exp(-z))
+    for x in quality.score(docs, pooling, network).collect():
+        assert abs(x["_score"] - wanted[x["text"]]) < 1e-3
+
+    twice = docs.unionByName(docs.withColumn("text", F.concat(F.lit("other words "), "doc_id"))).unionByName(docs)
+    one, two = (quality.fit(twice.repartition(n, "text"), labels, bound=20)[1] for n in (2, 7))
+    assert np.array_equal(one.w1, two.w1) and np.array_equal(one.w2, two.w2) and one.temperature == two.temperature
