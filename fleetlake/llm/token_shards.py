@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlake.llm.common import U64, flat, mix, row_key, slices
+from fleetlake.llm.common import U64, flat, frugal, mix, row_key, slices
 from fleetlake.llm.storage import open_input, open_output
 from fleetlake.llm.tokenizing import encoder, vocabulary
 from fleetlake.session import scratch_path
@@ -44,6 +44,8 @@ from fleetlake.session import scratch_path
 MANIFEST = "shard int, path string, docs long, tokens long, first_id long, last_id long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int"
 READ_TOKENS = 1 << 21
+TASK_TOKENS = 1 << 25
+ENCODE_BYTES = 1 << 22
 GAMMA = 2
 _KEY = U64(0xD6E8FEB86659FD93)
 
@@ -161,7 +163,7 @@ def _writer(folder: str, vocab: str, end_id: int):
             key, text = batch.column("id"), batch.column("text")
             nulls += key.null_count
             ids.append(key.drop_null().to_numpy(zero_copy_only=False))
-            for a, b in slices(flat(text)[1]):
+            for a, b in slices(flat(text)[1], ENCODE_BYTES):
                 for part in enc.encode(text.slice(a, b - a).to_pylist()):
                     out.write(part)
                     out.write(end)
@@ -181,11 +183,15 @@ def _writer(folder: str, vocab: str, end_id: int):
 
 def write_shards(docs: DataFrame, folder: str, vocab: str | None = None, end_id: int = 0,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the shards of ``docs`` below ``folder`` in ascending id order; returns the manifest."""
+    """Write the shards of ``docs`` below ``folder`` in ascending id order; returns the manifest.
+
+    Its rows, one per shard, meet in one file: a file of one row per task costs the
+    executors a start of two processes each."""
     keyed = row_key(docs, id_col, text_col)
     ranged = (keyed.repartitionByRange(F.col("id").asc_nulls_first(), "k2")
               .sortWithinPartitions(F.col("id").asc_nulls_first(), "k2").select("id", "text"))
-    ranged.mapInArrow(_writer(folder, vocab or vocabulary(), end_id), MANIFEST).write.mode("overwrite").parquet(f"{folder}/manifest")
+    written = ranged.mapInArrow(frugal(_writer(folder, vocab or vocabulary(), end_id)), MANIFEST)
+    written.repartition(1).write.mode("overwrite").parquet(f"{folder}/manifest")
     return docs.sparkSession.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
 
@@ -222,21 +228,27 @@ def _within(count: np.ndarray) -> np.ndarray:
 
 
 def shard_list(manifest: DataFrame) -> DataFrame:
-    """The manifest with each shard's first global token, one task per shard.
+    """The manifest with each shard's first global token; a task takes neighbouring
+    shards of at most ``TASK_TOKENS`` tokens together, or one larger shard.
 
     Only one row per shard passes the driver; documents do not."""
-    spark, base, rows = manifest.sparkSession, 0, []
+    spark, base, held, tasks = manifest.sparkSession, 0, 0, []
     for r in sorted(manifest.collect(), key=lambda r: r["shard"]):
-        rows.append((r["shard"], r["path"], r["tokens"], base, r["first_id"], r["last_id"]))
+        if not tasks or held + r["tokens"] > TASK_TOKENS:
+            tasks.append((len(tasks), []))
+            held = 0
+        tasks[-1][1].append((r["shard"], r["path"], r["tokens"], base, r["first_id"], r["last_id"]))
         base += r["tokens"]
-    made = spark.createDataFrame(rows, "shard int, path string, tokens long, base long, first_id long, last_id long")
-    return made.repartition(max(1, len(rows)), "shard")
+        held += r["tokens"]
+    shard = "shard int, path string, tokens long, base long, first_id long, last_id long"
+    made = spark.createDataFrame(tasks, f"task int, shards array<struct<{shard}>>")
+    return made.repartitionByRange(max(1, len(tasks)), "task").select(F.inline("shards"))
 
 
 def read_shards(manifest: DataFrame, itemsize: int) -> DataFrame:
     """Every record of the shards through their indexes, with the crc32 of its
     ids as unsigned 32-bit numbers and its global start."""
-    return shard_list(manifest).mapInArrow(_reader(itemsize), READ)
+    return shard_list(manifest).mapInArrow(frugal(_reader(itemsize)), READ)
 
 
 def lookup(manifest: DataFrame, keys: DataFrame, itemsize: int, key_col: str = "doc_id") -> DataFrame:

@@ -16,6 +16,7 @@ import os
 import struct
 
 import numpy as np
+import pyarrow as pa
 
 MEMO_PIECES = 1_500_000
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -109,6 +110,8 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Id bytes (little-endian, the vocabulary's width) of each whole text."""
         texts = [t or "" for t in texts]
+        if not texts:
+            return []
         for memo in (self.first, self.rest, self.tails):
             if len(memo) > MEMO_PIECES:
                 memo.clear()
@@ -121,41 +124,41 @@ class Encoder:
             gc.enable()
 
     def _by_piece(self, texts: list[str]) -> list[bytes]:
-        lines: list[list[bytes]] = []
-        open_, asked_first, asked_rest = [], set(), set()
-        first, rest, join = self.first.get, self.rest.get, b"".join
-        for t in texts:
-            parts = []
-            for line in t.split("\n") if t else ():
-                pieces = line.split(" ")
-                ids = list(map(rest, pieces))
-                ids[0] = first(pieces[0])
-                if None in ids:
-                    gaps = [i for i, v in enumerate(ids) if v is None]
-                    open_.append((len(lines), len(parts), pieces, ids, gaps))
-                    new = [pieces[i] for i in gaps]
-                    if gaps[0] == 0:
-                        asked_first.add(new[0])
-                        del new[0]
-                    asked_rest.update(new)
-                    parts.append(b"")
-                else:
-                    parts.append(join(ids))
-            lines.append(parts)
-        self.first.learn(asked_first)
-        self.rest.learn(asked_rest)
-        whole = set()
-        for text, line, pieces, ids, gaps in open_:
-            for i in gaps:
-                ids[i] = rest(pieces[i]) if i else first(pieces[0])
-            if None in ids:
-                whole.add(text)
-            else:
-                lines[text][line] = join(ids)
-        out = [self.newline.join(parts) for parts in lines]
-        some = sorted(whole)
-        for i, ids in zip(some, self.encode_whole([texts[i] for i in some]), strict=True):
-            out[i] = ids
+        """A piece is taken with the space or newline before it (a newline before each
+        text), so equal ones are looked up once and the ids gathered in one buffer."""
+        raw = [t.encode() for t in texts]
+        starts = np.cumsum([0, *[len(t) + 1 for t in raw]])
+        data = b"".join([x for t in raw for x in (b"\n", t)])
+        byte = np.frombuffer(data, np.uint8)
+        at = np.flatnonzero((byte == 32) | (byte == 10))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(np.append(at, len(data))), pa.py_buffer(data)])
+        coded = pieces.dictionary_encode()
+        which, words = coded.indices.to_numpy(), coded.dictionary
+        _, offsets, flat = words.buffers()
+        ends = np.frombuffer(offsets, np.int64)[: len(words) + 1]
+        leads = np.flatnonzero(np.frombuffer(flat, np.uint8)[ends[:-1]] == 10).tolist()
+        names = str(flat[: ends[-1]], "utf-8").replace("\n", " ").split(" ")[1:]
+        asked = {names[i] for i in leads}
+        self.first.learn({p for p in asked if p not in self.first})
+        ids = list(map(self.rest.get, names))
+        for i in leads:
+            ids[i] = b""
+        gaps = [i for i, v in enumerate(ids) if v is None]
+        self.rest.learn({names[i] for i in gaps})
+        for i in gaps:
+            ids[i] = self.rest.get(names[i])
+        for i in leads:
+            known = self.first.get(names[i])
+            ids[i] = None if known is None else self.newline + known
+        _, offsets, flat = pa.array(ids, pa.large_binary()).take(coded.indices).buffers()
+        text = np.searchsorted(at, starts)
+        cuts = np.frombuffer(offsets, np.int64)[text].tolist()
+        view, skip = memoryview(flat or b""), len(self.newline)
+        out = [bytes(view[a + skip:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+        unknown = np.array([v is None for v in ids], bool)
+        whole = np.unique(np.searchsorted(text, np.flatnonzero(unknown[which]), side="right") - 1).tolist()
+        for i, got in zip(whole, self.encode_whole([texts[i] for i in whole]), strict=True):
+            out[i] = got
         return out
 
 
