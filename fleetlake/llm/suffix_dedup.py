@@ -1,15 +1,18 @@
 """Suffix-array dedup: bytes covered by a 200-byte string that also starts
 elsewhere are removed.
 
-Candidate segments come from ``dup_windows``.  A task feeds the distinct
+Candidate segments come from ``dup_windows``, by anchors of ``GRAM`` bytes: shorter
+ones recur by chance, the more often the larger the table, and would keep more and
+more text that has no copy and put unlike segments under one key.  A task feeds the distinct
 segments of a key to a logarithmic family of suffix-array levels: a batch gets a
 suffix array of its own, is merge-scanned against every level for matches of
 the full length (both sides of a match are marked), and then levels of the same
-size class merge.  Scan and merge build the suffix array of both sides anew, so
-segments are sorted again with each later batch of their key; the bound on a
+size class merge.  A scan builds the suffix array of both sides anew; the merge of
+the same two takes it over, and later merges build theirs when the next batch
+comes.  So segments are sorted again with each later batch of their key; the bound on a
 key's segments in ``dup_windows`` bounds that.  Levels above a size bound are not
 merged further, only scanned.  A key that fits
-one batch is one level.
+one batch, which may reach ``KEY_BATCHES`` times its usual size for one key, is one level.
 
 Two modes: ``keep="none"`` removes every copy (the same document included);
 ``keep="first"`` removes only what also starts in a document with a smaller id,
@@ -36,7 +39,11 @@ from pyspark.sql import types as T
 from fleetlake.llm.common import flat, frugal, row_key, runs, table
 from fleetlake.llm.dup_windows import Scheme, covered, decide, occurrences, per_row, span_lists
 
+#: bytes of an anchor
+GRAM = 64
 BATCH_BYTES = 1 << 17
+#: times a batch's bytes that segments of one key may fill before a new batch begins
+KEY_BATCHES = 4
 LEVEL_BYTES = 1 << 23
 NEVER = np.iinfo(np.int64).max
 
@@ -107,6 +114,10 @@ class Level:
         return self.owners[self.owner], self.start, self.edge
 
 
+def _together(a: Level, b: Level) -> Level:
+    return Level(a.segs + b.segs, np.concatenate((a.owners, b.owners)), a.length)
+
+
 class LevelFamily:
     """Marks, for each window, its total weight and least id over all levels."""
 
@@ -116,6 +127,7 @@ class LevelFamily:
         self.at = np.concatenate(([0], np.cumsum(n)))
         self.weight, self.least = np.zeros(self.at[-1], np.int64), np.full(self.at[-1], NEVER)
         self.levels: list[Level] = []
+        self.met: Level | None = None  # the last two levels together, if a scan has built that
 
     def _scan(self, level: Level, new: int | None = None) -> None:
         """Credit every window with what the others of its class bring.  ``new``:
@@ -132,15 +144,25 @@ class LevelFamily:
 
     def add(self, first: int, last: int) -> None:
         """Insert the batch of segments ``first..last``."""
+        self._merge()
         owners = np.arange(first, last)
         batch = Level(self.segs[first:last], owners, self.length)
         self._scan(batch)
         for level in self.levels:
-            self._scan(Level(level.segs + batch.segs, np.concatenate((level.owners, owners)), self.length), new=first)
+            self.met = _together(level, batch)
+            self._scan(self.met, new=first)
         self.levels.append(batch)
+
+    def _merge(self) -> None:
+        """Merge the last levels while they are of one size class."""
         while len(self.levels) > 1 and self.levels[-2].bytes <= 2 * self.levels[-1].bytes and self.levels[-2].bytes + self.levels[-1].bytes <= LEVEL_BYTES:
             b, a = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level(a.segs + b.segs, np.concatenate((a.owners, b.owners)), self.length))
+            self.levels.append(self.met or _together(a, b))
+            self.met = None
+        self.met = None
+
+    def clear(self) -> None:
+        self.levels, self.met = [], None
 
 
 def level_answers(length: int, batch_bytes: int, first: bool):
@@ -149,11 +171,11 @@ def level_answers(length: int, batch_bytes: int, first: bool):
         at = 0
         while at < len(segs):
             end, size = at, 0
-            while end < len(segs) and (size < batch_bytes or keys[end] == keys[end - 1] and size < 2 * batch_bytes):
+            while end < len(segs) and (size < batch_bytes or keys[end] == keys[end - 1] and size < KEY_BATCHES * batch_bytes):
                 size += len(segs[end])
                 end += 1
             if at and keys[at] != keys[at - 1]:
-                family.levels = []  # equal windows share a key: no later segment can match these
+                family.clear()  # equal windows share a key: no later segment can match these
             family.add(at, end)
             at = end
         out = []
@@ -206,7 +228,7 @@ def suffix_dedup(docs: DataFrame, length: int = 200, keep: str = "none", id_col:
         raise ValueError("keep is 'none' or 'first'")
     first = keep == "first"
     keyed = row_key(docs, id_col, text_col)
-    gram = max(1, min(16, length // 4))
+    gram = max(1, min(GRAM, length // 3))
     scheme = Scheme("byte", length, max(gram, length * 9 // 10), gram, 256, 1 << 19)
     found = occurrences(keyed.where("id IS NOT NULL") if first else keyed, scheme, first)
     spans = per_row(found, decide(found, level_answers(length, batch_bytes, first), batch_bytes, scheme))
