@@ -1,10 +1,14 @@
 """Work and memory that must not grow faster than the table."""
 
+import os
 import random
+from collections import Counter
 
 import numpy as np
 
-from fleetlake.llm import suffix_dedup
+from pyspark.sql import functions as F
+
+from fleetlake.llm import collocations, suffix_dedup
 
 
 # suffix-array dedup -------------------------------------------------------------
@@ -41,3 +45,41 @@ def test_a_key_is_sorted_about_twice(monkeypatch):
     assert sum(made[1:]) < 2.5 * 12000
     for batch in (400, 100):
         assert suffix_dedup.level_answers(50, batch, True)(segs, lo, c, [1] * 100) == whole
+
+
+# collocations -------------------------------------------------------------------
+
+def test_counts_travel_without_zeros_in_bounded_passes(spark, monkeypatch):
+    """Forty tasks that each hold a few of all phrases send those; tries of 1 byte at most go one by one."""
+    r = random.Random(10)
+    rows = [(i, " ".join(f"w{i}x{r.randrange(60)}" for _ in range(100)), "en") for i in range(40)]
+    pairs = Counter(tuple(t.split()[j:j + 2]) for _, t, _ in rows for j in range(99))
+    sent, real_cut, real_walk = [], collocations.cut, collocations._walk
+
+    def cut(df, name):
+        out = real_cut(df, name)
+        if name == "walked":
+            files = out.inputFiles()
+            sent.append((out.agg(F.sum(F.length("counts"))).first()[0], files[0].rsplit("/", 1)[0].removeprefix("file://")))
+        return out
+    tries = []
+    monkeypatch.setattr(collocations, "cut", cut)
+    monkeypatch.setattr(collocations, "_walk", lambda shared, *a: tries.append(len(shared.value)) or real_walk(shared, *a))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartitionByRange(40, "doc_id")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        _, words, found, _ = collocations.phrases(docs, least=1)
+        names = {x["no"]: x["word"] for x in words.collect()}
+        assert {(names[x["w1"]], names[x["w2"]]): x["f"] for x in found.collect()} == pairs
+        assert sent[0][0] < 4 * len(pairs) < 40 * 8 * len(pairs)
+        sent.clear(), tries.clear()
+        monkeypatch.setattr(collocations, "TRIE_KEYS", 1500)
+        monkeypatch.setattr(collocations, "PASS_BYTES", 1, raising=False)
+        _, words, found, _ = collocations.phrases(docs, least=1)
+        names = {x["no"]: x["word"] for x in words.collect()}
+        assert {(names[x["w1"]], names[x["w2"]]): x["f"] for x in found.collect()} == pairs
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert len(tries) > 4 and set(tries) == {1}
+    assert sum(os.path.exists(path) for _, path in sent) == 1, "of the passes' streams the last marked one stays"
